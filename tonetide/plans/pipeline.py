@@ -1,0 +1,36 @@
+"""The whole run: ingest, train, score, report."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tonetide.plans.reports import write_reports
+from tonetide.plans.score import score
+from tonetide.plans.train import train
+from tonetide.sources.ingest import ingest
+from tonetide.sources.stages import stage
+
+
+def run(
+    spark: SparkSession,
+    comments: str,
+    threads: str,
+    labels: str,
+    workdir: str,
+    seed: int,
+    fraction: float = 1.0,
+    **training,
+) -> DataFrame:
+    """Raw files to seven report files under ``workdir/reports``; returns the scored table.
+
+    Every finished stage under ``workdir`` (a shared folder) is reused by the next run.
+    """
+
+    def scored() -> DataFrame:
+        tables = ingest(spark, comments, threads, labels, workdir)
+        models, _ = train(spark, tables[2], tables[0], workdir, seed, **training)
+        return score(models, tables[0], tables[1], fraction)
+
+    result = stage(spark, f"{workdir}/full_sentiment", scored)
+    write_reports(result, f"{workdir}/reports")
+    return result
