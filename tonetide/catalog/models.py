@@ -36,7 +36,6 @@ def _trained(spark, sf_dir):
             _plain_comments(spark, sf_dir),
             workdir,
             SEED,
-            parallelism=2,
         )
         _TRAINED[key] = (models, workdir)
     return _TRAINED[key]
@@ -185,6 +184,5 @@ def pipeline_percent_by_region(spark, sf_dir):
         _write_labels(B.labels(spark, sf_dir), f"{out}/raw/labels.csv"),
         f"{out}/work",
         SEED,
-        parallelism=2,
     )
     return R.by_region(scored)

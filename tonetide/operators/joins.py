@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tonetide.constants import QUOTE_MARK, SARCASM_MARK, THREAD_PREFIX
 from tonetide.functions.values import ltrim_chars, strip_prefix
 from tonetide.operators.filters import not_containing, not_starting_with
+from tonetide.sources.readers import estimated_bytes
 
 # At most this many keys can each hold more than 1/1000 of all rows, so a list of the largest
 # keys of this length misses no key worth splitting. It also bounds what is broadcast.
@@ -26,8 +27,7 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """
     if limit is None:
         limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    return estimated_bytes(df) <= limit
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:

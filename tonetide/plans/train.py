@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,7 @@ from tonetide.operators.models import (
 from tonetide.operators.ngrams import with_ngram_bag
 from tonetide.operators.sampling import hash_split
 from tonetide.operators.vocabulary import fit_vocabulary, vectorize
+from tonetide.sources.readers import compact
 from tonetide.sources.stages import stage
 
 GRAMS = "grams"
@@ -72,7 +74,7 @@ def train(
         f"{workdir}/sentiment",
         lambda: with_labels(vectorize(vocabulary, grams).drop(GRAMS)),
     )
-    training, held_out = hash_split(data, "Input_id", weights, salt=f":split:{seed}")
+    training, held_out = hash_split(compact(data), "Input_id", weights, salt=f":split:{seed}")
 
     def classifier(label: str):
         return stage_classifier(
@@ -81,8 +83,10 @@ def train(
             lambda: train_one(training, "Input_id", label, reg_params, folds, seed, parallelism),
         )
 
-    models = Models(vocabulary, classifier("pos_label"), classifier("neg_label"))
-    return models, held_out
+    # The two classifiers are independent; their jobs share the cluster.
+    with ThreadPoolExecutor(2) as pool:
+        positive, negative = pool.map(classifier, ("pos_label", "neg_label"))
+    return Models(vocabulary, positive, negative), held_out
 
 
 def held_out_auc(models: Models, held_out: DataFrame) -> tuple[float, float]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tonetide.sources import schemas
@@ -41,3 +43,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a table's size: file sizes for a scan, no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def compact(df: DataFrame, bytes_per_task: int = 16 << 20) -> DataFrame:
+    """Merge splits of a freshly read small table, for work that passes over it many times.
+
+    An optimizer runs dozens of short jobs; on a few megabytes, task start-up would be most of
+    each. Splits are only ever merged up to ``bytes_per_task``.
+    """
+    tasks = max(1, math.ceil(estimated_bytes(df) / bytes_per_task))
+    return df.coalesce(tasks) if tasks < df.rdd.getNumPartitions() else df
