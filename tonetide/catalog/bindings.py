@@ -66,13 +66,13 @@ def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "documents")
         .groupBy(F.col("source").alias("id"))
-        .agg(F.count(F.lit(1)).alias("score"))
+        .agg(F.count_if(F.col("lang") == "en").alias("score"))
         .select("id", F.concat(F.lit("about "), "id").alias("title"), "score")
     )
 
 
 THREADS = """
-    SELECT source AS id, 'about ' || source AS title, CAST(count(*) AS BIGINT) AS score
+    SELECT source AS id, 'about ' || source AS title, CAST(count_if(lang = 'en') AS BIGINT) AS score
     FROM documents GROUP BY source
 """
 

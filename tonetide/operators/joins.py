@@ -106,39 +106,58 @@ def thread_key(link: str, strip: str = "prefix") -> Column:
     raise ValueError(f"strip must be 'prefix' or 'charset', not {strip!r}")
 
 
-def join_threads(
-    comments: DataFrame,
-    threads: DataFrame,
-    link_col: str = "link_id",
-    strip: str = "prefix",
-    **skew,
-) -> DataFrame:
-    """Comments with their thread, without sarcastic and quoting comments.
-
-    One thread may hold a large share of all comments, hence the skewed join. Keys are counted
-    before the text filters, so that counting reads the link column alone.
-    """
-    keyed = comments.withColumn("__thread", thread_key(link_col, strip))
+def comments_with_key(comments: DataFrame, link_col: str, strip: str) -> DataFrame:
+    """Comments without sarcastic and quoting ones, renamed, with their thread id as ``__thread``."""
     kept = not_starting_with(
-        not_containing(keyed, "body", SARCASM_MARK), "body", QUOTE_MARK
-    ).select(
+        not_containing(comments, "body", SARCASM_MARK), "body", QUOTE_MARK
+    )
+    return kept.select(
         F.col("id").alias("comment_id"),
         "body",
         F.col("created_utc").alias("timestamp"),
         F.col("author_flair_text").alias("state"),
         F.col("score").alias("comment_score"),
-        "__thread",
+        thread_key(link_col, strip).alias("__thread"),
     )
+
+
+def attach_threads(
+    keyed: DataFrame, threads: DataFrame, keys_of: DataFrame | None = None, **skew
+) -> DataFrame:
+    """Add id, title and score of the thread named by ``__thread``.
+
+    One thread may hold a large share of all comments, hence the skewed join.
+    """
     parents = threads.select(
         F.col("id").alias("submission_id"), "title", F.col("score").alias("submission_score")
     )
     joined = skewed_join(
-        kept,
+        keyed,
         parents,
         "__thread",
         "submission_id",
         spread_by="comment_id",
-        keys_of=keyed.select("__thread"),
+        keys_of=keys_of,
+        **skew,
+    )
+    return joined.drop("__thread")
+
+
+def join_threads(
+    comments: DataFrame,
+    threads: DataFrame,
+    link_col: str = "link_id",
+    strip: str = "prefix",
+    **skew,
+) -> DataFrame:
+    """Comments with their thread, without sarcastic and quoting comments.
+
+    Keys are counted before the text filters, so that counting reads the link column alone.
+    """
+    joined = attach_threads(
+        comments_with_key(comments, link_col, strip),
+        threads,
+        keys_of=comments.select(thread_key(link_col, strip).alias("__thread")),
         **skew,
     )
     return joined.select(
