@@ -103,7 +103,6 @@ def test_skewed_join_equals_plain_join(spark, conf, hot_rows):
         "b",
         spread_by="i",
         hot_rows=hot_rows,
-        splits=7,
         broadcast_limit=-1,
     )
     assert joined.columns == ["i", "a", "b", "v"]
@@ -117,7 +116,7 @@ def test_hot_keys_are_split(spark, conf):
     left = spark.range(8000).select("id", F.lit("hot").alias("a"))
     right = spark.createDataFrame([("hot", 1)], "b string, v int")
     joined = J.skewed_join(
-        left, right, "a", "b", spread_by="id", hot_rows=100, splits=64, broadcast_limit=-1
+        left, right, "a", "b", spread_by="id", hot_rows=100, broadcast_limit=-1
     )
     per_task = [
         r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()

@@ -47,7 +47,6 @@ def comments_with_threads_split(spark, sf_dir):
         B.comments(spark, sf_dir),
         B.threads(spark, sf_dir),
         hot_rows=20,
-        splits=8,
         broadcast_limit=-1,
     )
     return _digest(joined)

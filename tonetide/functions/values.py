@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,7 +41,10 @@ def ltrim_chars(c: Column | str, chars: str) -> Column:
 
 def strip_prefix(c: Column | str, prefix: str) -> Column:
     """Strip a prefix once."""
-    return F.regexp_replace(_column(c), "^" + re.escape(prefix), "")
+    c = _column(c)
+    return F.when(
+        c.startswith(prefix), c.substr(F.lit(len(prefix) + 1), F.length(c))
+    ).otherwise(c)
 
 
 def epoch_to_day(c: Column | str) -> Column:

@@ -15,9 +15,9 @@ from tonetide.functions.values import ltrim_chars, strip_prefix
 from tonetide.operators.filters import not_containing, not_starting_with
 from tonetide.sources.readers import estimated_bytes
 
-# At most this many keys can each hold more than 1/1000 of all rows, so a list of the largest
+# At most this many keys can each hold more than 1/100,000 of all rows, so a list of the largest
 # keys of this length misses no key worth splitting. It also bounds what is broadcast.
-HOT_KEYS = 1000
+HOT_KEYS = 100_000
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
@@ -30,18 +30,19 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return estimated_bytes(df) <= limit
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """The (at most ``HOT_KEYS``) keys with ``min_rows`` rows or more, as column ``__hot``.
+def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """The (at most ``HOT_KEYS``) keys with more than ``hot_rows`` rows.
 
-    Counting is pre-aggregated on the map side and reads one column.
+    Columns ``__hot`` and ``__splits``, the number of parts of ``hot_rows`` rows each. Counting
+    is pre-aggregated on the map side and reads one column.
     """
     return (
         df.groupBy(F.col(key).alias("__hot"))
         .count()
-        .filter((F.col("count") >= min_rows) & F.col("__hot").isNotNull())
+        .filter((F.col("count") > hot_rows) & F.col("__hot").isNotNull())
         .orderBy(F.desc("count"), "__hot")
         .limit(HOT_KEYS)
-        .select("__hot")
+        .select("__hot", F.ceil(F.col("count") / hot_rows).cast("int").alias("__splits"))
     )
 
 
@@ -52,34 +53,33 @@ def skewed_join(
     right_key: str,
     spread_by: str,
     keys_of: DataFrame | None = None,
-    hot_rows: int = 1_000_000,
-    splits: int = 64,
+    hot_rows: int = 2_000_000,
     broadcast_limit: int | None = None,
 ) -> DataFrame:
-    """Inner equi-join in which the left rows of a hot key are split over ``splits`` tasks.
+    """Inner equi-join in which the left rows of a hot key are split over many tasks.
 
-    A left row of a hot key goes to the split its ``spread_by`` value hashes to; the right rows
-    of hot keys, and only those, are repeated once per split. Every pair still meets exactly
-    once. ``keys_of`` may name a cheaper table with the left keys (before row filters) to count.
-    If the right side is small enough to broadcast, there is no shuffle to balance.
+    A key with more than ``hot_rows`` left rows is split into parts of about that size; a row
+    goes to the part its ``spread_by`` value hashes to. The right rows of hot keys, and only
+    those, are repeated once per part. Every pair still meets exactly once. ``keys_of`` may name
+    a cheaper table with the left keys (before row filters) to count. If the right side is small
+    enough to broadcast, there is no shuffle to balance.
     """
     if fits_broadcast(right, broadcast_limit):
         return left.join(right, F.col(left_key) == F.col(right_key))
     hot = F.broadcast(hot_keys(left if keys_of is None else keys_of, left_key, hot_rows))
-    is_hot = F.col("__hot").isNotNull()
-    one_split = F.pmod(F.xxhash64(spread_by), F.lit(splits)).cast("int")
-    all_splits = F.sequence(F.lit(0), F.lit(splits - 1))
+    splits = F.coalesce(F.col("__splits"), F.lit(1))
     left = (
         left.join(hot, F.col(left_key) == F.col("__hot"), "left")
-        .withColumn("__split", F.when(is_hot, one_split).otherwise(0))
-        .drop("__hot")
+        .withColumn(
+            "__split",
+            F.when(splits > 1, F.pmod(F.xxhash64(spread_by), splits).cast("int")).otherwise(0),
+        )
+        .drop("__hot", "__splits")
     )
     right = (
         right.join(hot, F.col(right_key) == F.col("__hot"), "left")
-        .withColumn(
-            "__part", F.explode(F.when(is_hot, all_splits).otherwise(F.array(F.lit(0))))
-        )
-        .drop("__hot")
+        .withColumn("__part", F.explode(F.sequence(F.lit(0), splits - 1)))
+        .drop("__hot", "__splits")
     )
     matches = (F.col(left_key) == F.col(right_key)) & (F.col("__split") == F.col("__part"))
     return left.join(right, matches).drop("__split", "__part")
