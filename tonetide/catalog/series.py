@@ -11,7 +11,9 @@ from tonetide.operators.filters import drop_values
 from tonetide.operators.joins import attach_to_dimension
 from tonetide.operators.rollups import percent_rollup
 from tonetide.operators.series import densify_daily, series_range
-from tonetide.plans.postprocess import daily_series, region_map
+from tonetide.plans.postprocess import daily_series, load_report, region_map
+from tonetide.sources.stages import shared_dir, stage
+from tonetide.sources.writers import write_report
 
 BAD = "2024-01-15"
 LEFT_OUT = ("ALGERIA", "BRAZIL")
@@ -26,7 +28,7 @@ def event_day_range(spark, sf_dir):
 
 
 @query(
-    "F11 F3 P8",
+    "F11 F3 P8 S6 S7",
     f"""WITH days AS (SELECT date, {B.PERCENT} FROM ({B.EVENT_FLAGS})
                       WHERE date <> '{BAD}' GROUP BY date),
              calendar AS (SELECT unnest(generate_series(min(CAST(date AS DATE)),
@@ -35,8 +37,10 @@ def event_day_range(spark, sf_dir):
         FROM calendar LEFT JOIN days ON strftime(day, '%Y-%m-%d') = days.date""",
 )
 def event_days_without_gaps(spark, sf_dir):
+    out = shared_dir(spark)
     rollup = percent_rollup(B.event_flags(spark, sf_dir), ["date"])
-    dense = daily_series(rollup, bad_days=[BAD])
+    write_report(rollup, f"{out}/time_data.csv", ["date"])
+    dense = daily_series(load_report(spark, out, "time_data"), bad_days=[BAD])
     return dense.withColumn("date", F.col("date").cast("string"))
 
 
@@ -51,9 +55,10 @@ def event_days_without_gaps(spark, sf_dir):
 )
 def order_days_without_gaps(spark, sf_dir):
     orders = B.table(spark, sf_dir, "orders")
-    days = orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(
+    rollup = orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(
         F.count(F.lit(1)).alias("orders")
     )
+    days = stage(spark, f"{shared_dir(spark)}/days", lambda: rollup)
     return densify_daily(days, "day").withColumn("day", F.col("day").cast("string"))
 
 
@@ -111,7 +116,11 @@ def nations_with_rollup(spark, sf_dir):
 )
 def nation_map(spark, sf_dir):
     """Every mapped nation must have data."""
-    rollup = percent_rollup(B.nation_rollup_input(spark, sf_dir), ["n_name"])
+    rollup = stage(
+        spark,
+        f"{shared_dir(spark)}/rollup",
+        lambda: percent_rollup(B.nation_rollup_input(spark, sf_dir), ["n_name"]),
+    )
     return region_map(
         rollup, B.table(spark, sf_dir, "nation"), "n_name", strict=True, unmapped=LEFT_OUT
     )

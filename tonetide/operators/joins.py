@@ -185,7 +185,8 @@ def attach_to_dimension(
 ) -> DataFrame:
     """Every dimension row with the aggregate of the same ``key``, null where there is none.
 
-    ``lower`` compares lower-cased names. ``strict`` raises if a dimension row finds nothing.
+    ``lower`` compares lower-cased names. ``strict`` raises if a dimension row finds nothing;
+    that check runs at once and reads ``agg``, so give it a stored rollup.
     """
 
     def name(c: str) -> Column:

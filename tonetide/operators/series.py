@@ -14,7 +14,8 @@ def series_range(df: DataFrame, day: str) -> DataFrame:
 def densify_daily(df: DataFrame, day: str) -> DataFrame:
     """One row per calendar day from the first to the last; days without data hold nulls.
 
-    ``df`` is a rollup, one row per day. The calendar is as long as the series, no more.
+    ``df`` is a stored rollup, one row per day: it is read for its range and once more for its
+    values. The calendar is as long as the series, no more.
     """
     calendar = series_range(df, day).select(
         F.explode(F.sequence("first_day", "last_day")).alias(day)
