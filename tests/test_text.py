@@ -165,7 +165,9 @@ def test_random_texts_match_python(spark, texts):
     assert column(with_ngram_bag(df, "t", "bag"), "bag") == bags
     parsed = column(with_sanitized(df, "t", "s").select("i", "s.parsed"), "parsed")
     assert parsed == [" ".join(expected(t)[0]) for t in texts]
-    assert column(df.withColumn("bag", F.expr("sanitize(t)")), "bag") == bags
+    assert column(df.withColumn("bag", F.call_function("sanitize", "t")), "bag") == bags
+    parts = df.withColumn("s", F.expr("sanitize_parts(t)"))
+    assert column(parts, "s") == column(with_sanitized(df, "t", "s"), "s")
 
 
 def test_sql_functions(spark):
@@ -178,3 +180,9 @@ def test_sql_functions(spark):
     assert row.bag == expected("It's \"fine\", isn't it?")[2]
     assert (row.nothing, row.a, row.b, row.c) == (None, True, False, False)
     assert row.p == pytest.approx(0.1)
+    row = spark.sql("SELECT sanitize_parts(NULL) AS nothing, sanitize_parts('A, b c') AS s").first()
+    assert row.nothing is None
+    assert tuple(row.s) == ("a , b c", "a b c", "a_b b_c", "a_b_c")
+    for n in (1, 2, 3, 4):
+        row = spark.sql(f"SELECT ngrams(array('a', 'b', 'c'), {n}) AS g").first()
+        assert row.g == ["_".join("abc"[k : k + n]) for k in range(3 - n + 1)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonetide.catalog import bindings as B
@@ -109,6 +110,40 @@ def one_pass_equals_join(spark, sf_dir):
     )
 
 
+@query("M8 M2 F10", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS different FROM documents")
+def scores_recomputed_from_terms(spark, sf_dir):
+    """The models' probabilities from their coefficients, by joining terms to weights."""
+    models, _ = _trained(spark, sf_dir)
+    best = [m.bestModel for m in (models.positive, models.negative)]
+    weights = spark.createDataFrame(
+        [
+            (term, float(w), float(v))
+            for term, w, v in zip(
+                models.vocabulary.vocabulary, *[b.coefficients.toArray() for b in best]
+            )
+        ],
+        "term string, w double, v double",
+    )
+    grams = _grams(spark, sf_dir)
+    terms = grams.select("id", F.explode(F.array_distinct(GRAMS)).alias("term"))
+    sums = terms.join(weights, "term").groupBy("id").agg(
+        F.sum("w").alias("w"), F.sum("v").alias("v")
+    )
+
+    def probability(total, intercept):
+        margin = F.coalesce(F.col(total), F.lit(0.0)) + F.lit(float(intercept))
+        return 1.0 / (1.0 + F.exp(-margin))
+
+    different = (
+        F.abs(F.col("pos_probability") - probability("w", best[0].intercept)) > 1e-9
+    ) | (F.abs(F.col("neg_probability") - probability("v", best[1].intercept)) > 1e-9)
+    return (
+        _scored(spark, sf_dir)
+        .join(sums, "id", "left")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(different).alias("different"))
+    )
+
+
 @query("S8 K2", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS different FROM documents")
 def saved_models_score_alike(spark, sf_dir):
     models, _ = _trained(spark, sf_dir)
@@ -173,16 +208,39 @@ def held_out_quality(spark, sf_dir):
     )
 
 
+_RUNS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _whole_run(spark, sf_dir):
+    """Raw files to the scored table and its reports, once per application and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        out = shared_dir(spark)
+        _RUNS[key] = run(
+            spark,
+            _write_json(B.comments(spark, sf_dir), f"{out}/raw/comments.json"),
+            _write_json(B.threads(spark, sf_dir), f"{out}/raw/threads.json"),
+            _write_labels(B.labels(spark, sf_dir), f"{out}/raw/labels.csv"),
+            f"{out}/work",
+            SEED,
+        )
+    return _RUNS[key]
+
+
 @query("S10 J1 M8 J2 A3 K1")
 def pipeline_percent_by_region(spark, sf_dir):
     """The whole run from raw files: ingest, train, join, score, report."""
-    out = shared_dir(spark)
-    scored = run(
-        spark,
-        _write_json(B.comments(spark, sf_dir), f"{out}/raw/comments.json"),
-        _write_json(B.threads(spark, sf_dir), f"{out}/raw/threads.json"),
-        _write_labels(B.labels(spark, sf_dir), f"{out}/raw/labels.csv"),
-        f"{out}/work",
-        SEED,
-    )
-    return R.by_region(scored)
+    return R.by_region(_whole_run(spark, sf_dir))
+
+
+@query(
+    "S10 J2 P1 P4 P5 K1",
+    f"""SELECT c.id AS comment_id, t.id AS submission_id, c.created_utc AS timestamp,
+               c.author_flair_text AS state, t.title AS title, c.score AS comment_score,
+               t.score AS submission_score
+        FROM ({B.COMMENTS}) c JOIN ({B.THREADS}) t ON substr(c.link_id, 4) = t.id
+        WHERE NOT contains(c.body, '/s') AND NOT starts_with(c.body, '&gt')""",
+)
+def pipeline_scored_rows(spark, sf_dir):
+    """Which rows the whole run scores, with everything but the two flags."""
+    return _whole_run(spark, sf_dir).drop("pos", "neg")

@@ -33,6 +33,29 @@ def orders_sampled(spark, sf_dir):
     return sample(B.table(spark, sf_dir, "orders"), SAMPLE_FRACTION, seed=7)
 
 
+@query(
+    "K3",
+    """SELECT 'outside the table' AS what, CAST(0 AS BIGINT) AS n
+       UNION ALL SELECT 'drawn twice', 0 UNION ALL SELECT 'differs when repeated', 0""",
+)
+def orders_sample_is_sound(spark, sf_dir):
+    """A sample is part of its table, without repeats, and its seed brings it back."""
+    orders = B.table(spark, sf_dir, "orders").select("o_orderkey")
+    drawn = sample(orders, SAMPLE_FRACTION, seed=7)
+    again = sample(orders, SAMPLE_FRACTION, seed=7)
+    twice = drawn.groupBy("o_orderkey").count().filter("count > 1")
+    parts = {
+        "outside the table": drawn.join(orders, "o_orderkey", "left_anti"),
+        "drawn twice": twice,
+        "differs when repeated": drawn.join(again, "o_orderkey", "left_anti"),
+    }
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
+        for what, df in parts.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @query(
     "K4",
     f"""SELECT o_orderkey, CAST({_position('o_orderkey', ':s')} >= 0.5 AS INTEGER) AS part

@@ -195,6 +195,27 @@ def text_ngram_bag_in_sql_text(spark, sf_dir):
     return _list_digest(spark.sql("SELECT doc_id, sanitize(t) AS x FROM tailed_texts"), "x")
 
 
+@query(
+    "T7 T10",
+    f"""SELECT doc_id, {digest('tokens')} AS parsed, CAST(len(g) AS INTEGER) AS n,
+               {digest(grams(5))} AS five_grams
+        FROM (SELECT doc_id, tokens, {t8("tokens")} AS g
+              FROM (SELECT doc_id, {t6(t5(t4(t3(t2(t1("t"))))))} AS tokens FROM ({_TAILED})))""",
+)
+def text_parts_in_sql_text(spark, sf_dir):
+    register_functions(spark)
+    _tailed(spark, sf_dir).createOrReplaceTempView("tailed_texts")
+    return spark.sql(
+        """
+        FROM tailed_texts
+        |> SELECT doc_id, sanitize_parts(t) AS s
+        |> SELECT doc_id, s.parsed AS parsed, split(s.unigrams, ' ') AS g
+        |> SELECT doc_id, md5(parsed) AS parsed, size(g) AS n,
+                  md5(array_join(ngrams(g, 5), ' ')) AS five_grams
+        """
+    )
+
+
 _TURNS = "SELECT conv_id, turn, text FROM conversations"
 
 
