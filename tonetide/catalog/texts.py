@@ -137,7 +137,7 @@ def text_lower_tokens(spark, sf_dir):
 @query("T8", _list_sql(t8(t6(t5(t4("t"))))))
 def text_without_punctuation(spark, sf_dir):
     df = _tailed(spark, sf_dir).withColumn("raw", X.tokenize("t"))
-    tokens = X.split_joined(X.clean_joined("raw"), "raw")
+    tokens = X.split_joined(X.clean_joined(X.join_tokens("raw")), "raw")
     return _list_digest(df.withColumn("x", X.drop_punctuation(tokens)), "x")
 
 
@@ -160,7 +160,7 @@ def text_parsed(spark, sf_dir):
 )
 def text_four_grams(spark, sf_dir):
     df = _tailed(spark, sf_dir).withColumn("raw", X.tokenize("t"))
-    df = df.withColumn("g", X.drop_punctuation(X.split_joined(X.clean_joined("raw"), "raw")))
+    df = df.withColumn("g", X.drop_punctuation(X.split_joined(X.clean_joined(X.join_tokens("raw")), "raw")))
     return _list_digest(with_ngrams(df, "g", 4, "x"), "x")
 
 

@@ -59,12 +59,19 @@ def register_functions(spark: SparkSession) -> None:
         "STRING",
         "ngram_no_mentions(ngram_no_links(ngram_spaces(body)))",
     )
+    create(
+        "ngram_clean_joined",
+        "joined STRING",
+        "STRING",
+        "lower(CASE WHEN length(joined) = octet_length(joined) THEN replace(joined, '_', '')"
+        f" ELSE regexp_replace(joined, {_quoted(X.STRAY_IN_TOKENS)}, '') END)",
+    )
     create(
         "ngram_clean",
         f"raw {list_of}",
         list_of,
-        f"CASE WHEN size(raw) = 0 THEN CAST(array() AS {list_of}) ELSE split(lower("
-        f"regexp_replace(array_join(raw, ' '), {_quoted(X.STRAY_IN_TOKENS)}, '')), ' ') END",
+        f"CASE WHEN size(raw) = 0 THEN CAST(array() AS {list_of})"
+        " ELSE split(ngram_clean_joined(array_join(raw, ' ')), ' ') END",
     )
     create(
         "ngram_extend",

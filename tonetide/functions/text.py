@@ -87,12 +87,18 @@ def join_tokens(tokens: Column | str) -> Column:
     return F.array_join(_column(tokens), " ")
 
 
-def clean_joined(tokens: Column | str) -> Column:
-    """``clean_tokens`` + ``lower_tokens`` + ``join_tokens`` for tokens made by ``tokenize``.
+def clean_joined(joined: Column | str) -> Column:
+    """``clean_tokens`` and ``lower_tokens`` at once, on the joined tokens of ``tokenize``.
 
-    Such tokens hold no spaces, so one regex over the joined text cleans them all.
+    Such tokens hold no spaces, so one pass over the joined text cleans them all. In plain ASCII
+    the only stray character they can hold is the underscore.
     """
-    return F.lower(F.regexp_replace(join_tokens(tokens), STRAY_IN_TOKENS, ""))
+    joined = _column(joined)
+    is_ascii = F.length(joined) == F.octet_length(joined)
+    cleaned = F.when(is_ascii, F.replace(joined, F.lit("_"), F.lit(""))).otherwise(
+        F.regexp_replace(joined, STRAY_IN_TOKENS, "")
+    )
+    return F.lower(cleaned)
 
 
 def split_joined(joined: Column | str, tokens: Column | str) -> Column:

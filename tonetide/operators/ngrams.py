@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tonetide.functions import text as X
 
 _STEP = "__step_"
+_JOINED = "__step_joined"
 
 
 def with_ngrams(df: DataFrame, tokens: str, n: int, out: str, sep: str = "_") -> DataFrame:
@@ -38,19 +39,20 @@ def _extend(tokens: str, shorter: str, k: int, sep: str) -> Column:
 
 
 def _with_words(df: DataFrame, text: str, tokens: Column, raw: str) -> DataFrame:
-    """Add ``tokens`` over the prepared text; each preparing step is computed once."""
+    """Add ``tokens`` over the prepared text, and joined as ``_JOINED``; each step runs once."""
     body = f"{_STEP}body"
     df = df.withColumn(body, X.normalize_ws(text))
     df = df.withColumn(body, X.strip_links(body))
     df = df.withColumn(body, X.strip_mentions(body))
-    return df.withColumn(raw, tokens).drop(body)
+    df = df.withColumn(raw, tokens).drop(body)
+    return df.withColumn(_JOINED, X.join_tokens(raw))
 
 
 def with_sanitized(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add a struct of four strings: parsed text, unigrams, bigrams, trigrams."""
     raw, parsed, uni, bi, tri = (f"{_STEP}{s}" for s in ("raw", "parsed", "uni", "bi", "tri"))
     df = _with_words(df, text, X.tokenize(f"{_STEP}body"), raw)
-    df = df.withColumn(parsed, X.clean_joined(raw))
+    df = df.withColumn(parsed, X.clean_joined(_JOINED))
     df = df.withColumn(uni, X.drop_punctuation(X.split_joined(parsed, raw)))
     df = df.withColumn(bi, _extend(uni, uni, 2, "_"))
     df = df.withColumn(tri, _extend(uni, bi, 3, "_"))
@@ -61,7 +63,7 @@ def with_sanitized(df: DataFrame, text: str, out: str) -> DataFrame:
         X.join_tokens(tri).alias("trigrams"),
     )
     df = df.withColumn(out, F.when(F.col(text).isNotNull(), fields))
-    return df.drop(raw, parsed, uni, bi, tri)
+    return df.drop(raw, _JOINED, parsed, uni, bi, tri)
 
 
 def with_ngram_bag(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -73,8 +75,8 @@ def with_ngram_bag(df: DataFrame, text: str, out: str) -> DataFrame:
     """
     raw, uni, bi = (f"{_STEP}{s}" for s in ("raw", "uni", "bi"))
     df = _with_words(df, text, X.words(f"{_STEP}body"), raw)
-    df = df.withColumn(uni, F.array_remove(X.split_joined(X.clean_joined(raw), raw), "'"))
+    df = df.withColumn(uni, F.array_remove(X.split_joined(X.clean_joined(_JOINED), raw), "'"))
     df = df.withColumn(bi, _extend(uni, uni, 2, "_"))
     tri = _extend(uni, bi, 3, "_")
     df = df.withColumn(out, F.concat(F.array_remove(uni, ""), F.col(bi), tri))
-    return df.drop(raw, uni, bi)
+    return df.drop(raw, _JOINED, uni, bi)

@@ -8,6 +8,7 @@ from tonetide.plans.reports import write_reports
 from tonetide.plans.score import score
 from tonetide.plans.train import train
 from tonetide.sources.ingest import ingest
+from tonetide.sources.readers import spread
 from tonetide.sources.stages import stage
 
 
@@ -27,9 +28,10 @@ def run(
     """
 
     def scored() -> DataFrame:
-        tables = ingest(spark, comments, threads, labels, workdir)
-        models, _ = train(spark, tables[2], tables[0], workdir, seed, **training)
-        return score(models, tables[0], tables[1], fraction)
+        texts, parents, labeled = ingest(spark, comments, threads, labels, workdir)
+        texts = spread(texts, "id")
+        models, _ = train(spark, labeled, texts, workdir, seed, **training)
+        return score(models, texts, parents, fraction)
 
     result = stage(spark, f"{workdir}/full_sentiment", scored)
     write_reports(result, f"{workdir}/reports")
