@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tonetide.operators.models import Models, evaluate_auc, score, train_pair
 from tonetide.operators.ngrams import with_ngram_bag
 from tonetide.operators.vocabulary import fit_vocabulary, vectorize
-from tonetide.plans.pipeline import run
+from tonetide.plans.full_run import run
 from tonetide.plans.score import score as score_plan
 from tonetide.plans.train import GRAMS, held_out_auc, train
 from tonetide.sources.stages import shared_dir

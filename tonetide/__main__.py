@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tonetide.constants import MIN_DOCUMENT_FREQUENCY
-from tonetide.plans.pipeline import run
+from tonetide.plans.full_run import run
 from tonetide.plans.reports import write_reports
 from tonetide.sources.ingest import clean_file, ingest
 from tonetide.sources.readers import read_table

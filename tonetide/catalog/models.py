@@ -13,7 +13,7 @@ from tonetide.operators.joins import merge_scores
 from tonetide.operators.models import Models, evaluate_auc, score
 from tonetide.operators.ngrams import with_ngram_bag
 from tonetide.plans import reports as R
-from tonetide.plans.pipeline import run
+from tonetide.plans.full_run import run
 from tonetide.plans.train import GRAMS, held_out_auc, train
 from tonetide.sources.stages import shared_dir
 
@@ -228,7 +228,7 @@ def _whole_run(spark, sf_dir):
 
 
 @query("S10 J1 M8 J2 A3 K1")
-def pipeline_percent_by_region(spark, sf_dir):
+def full_run_percent_by_region(spark, sf_dir):
     """The whole run from raw files: ingest, train, join, score, report."""
     return R.by_region(_whole_run(spark, sf_dir))
 
@@ -241,6 +241,6 @@ def pipeline_percent_by_region(spark, sf_dir):
         FROM ({B.COMMENTS}) c JOIN ({B.THREADS}) t ON substr(c.link_id, 4) = t.id
         WHERE NOT contains(c.body, '/s') AND NOT starts_with(c.body, '&gt')""",
 )
-def pipeline_scored_rows(spark, sf_dir):
+def full_run_scored_rows(spark, sf_dir):
     """Which rows the whole run scores, with everything but the two flags."""
     return _whole_run(spark, sf_dir).drop("pos", "neg")
