@@ -104,9 +104,7 @@ def test_sql_function_is_expanded(spark, stored):
     assert "EvalPython" not in plan and plan.count("regexp_extract_all(") <= 2
 
 
-def test_scoring_reads_comments_once(spark, tmp_path, stored):
-    from pyspark.ml.classification import LogisticRegressionModel  # noqa: F401
-
+def test_scoring_reads_comments_once(spark, stored):
     from tonetide.operators.models import Models, train_pair
     from tonetide.operators.vocabulary import fit_vocabulary, vectorize
     from tonetide.plans.score import score
@@ -126,7 +124,9 @@ def test_scoring_reads_comments_once(spark, tmp_path, stored):
     joins = [line for line in late.split("\n\n")[0].splitlines() if "Join" in line]
     assert joins and "score" not in joins[0]
     exchanged = [
-        block for block in late.split("\n\n") if "Exchange\n" in block and "hashpartitioning" in block
+        block
+        for block in late.split("\n\n")
+        if "Exchange\n" in block and "hashpartitioning" in block
     ]
     assert exchanged and not any("body" in block for block in exchanged)
 

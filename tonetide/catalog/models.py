@@ -152,7 +152,9 @@ def saved_models_score_alike(spark, sf_dir):
     again = _scored(spark, sf_dir, Models.load(path)).select(
         "id", F.col("pos_probability").alias("p2"), F.col("neg_probability").alias("q2")
     )
-    different = (F.col("pos_probability") != F.col("p2")) | (F.col("neg_probability") != F.col("q2"))
+    different = (F.col("pos_probability") != F.col("p2")) | (
+        F.col("neg_probability") != F.col("q2")
+    )
     return (
         _scored(spark, sf_dir)
         .join(again, "id")

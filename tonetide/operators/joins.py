@@ -107,7 +107,7 @@ def thread_key(link: str, strip: str = "prefix") -> Column:
 
 
 def comments_with_key(comments: DataFrame, link_col: str, strip: str) -> DataFrame:
-    """Comments without sarcastic and quoting ones, renamed, with their thread id as ``__thread``."""
+    """Comments without sarcastic and quoting ones, renamed, their thread id as ``__thread``."""
     kept = not_starting_with(
         not_containing(comments, "body", SARCASM_MARK), "body", QUOTE_MARK
     )

@@ -41,7 +41,9 @@ def labeled_ngrams(labels: DataFrame, comments: DataFrame) -> DataFrame:
 
 def with_labels(df: DataFrame, label: str = "labeldjt") -> DataFrame:
     """Add ``pos_label`` (label is 1) and ``neg_label`` (label is -1)."""
-    return df.withColumns({"pos_label": binary_label(label, 1), "neg_label": binary_label(label, -1)})
+    return df.withColumns(
+        {"pos_label": binary_label(label, 1), "neg_label": binary_label(label, -1)}
+    )
 
 
 def train(
