@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tonetide.constants import REGIONS, TOP_THREADS
@@ -39,17 +40,27 @@ def by_comment_score(scored: DataFrame) -> DataFrame:
     return percent_rollup(scored, ["comment_score"])
 
 
-def top_threads(
-    scored: DataFrame, measure: str, k: int = TOP_THREADS, min_group: int = 1
+def by_thread(scored: DataFrame) -> DataFrame:
+    """Per thread, with its number of comments as ``__comments``; what the top lists rank."""
+    return percent_rollup(scored, ["submission_id", "submission_score"], count="__comments")
+
+
+def best_threads(
+    threads: DataFrame, measure: str, k: int = TOP_THREADS, min_group: int = 1
 ) -> DataFrame:
     """The ``k`` threads with the largest ``measure``; ties go by thread score, then id."""
-    threads = percent_rollup(scored, ["submission_id", "submission_score"], count="__comments")
     best = top_k(
         threads, measure, k, ["submission_score", "submission_id"], min_group, "__comments"
     )
     return best.drop("__comments")
 
 
+def top_threads(
+    scored: DataFrame, measure: str, k: int = TOP_THREADS, min_group: int = 1
+) -> DataFrame:
+    return best_threads(by_thread(scored), measure, k, min_group)
+
+
 # --- fixed values: report name, columns, order of its rows --------------------
 REPORTS = {
     "raw_percentages": (overall, schemas.OVERALL, []),
@@ -64,7 +75,10 @@ def write_reports(scored: DataFrame, out: str, min_group: int = 1) -> None:
     """Write all seven reports as ``<out>/<name>.csv``."""
     for name, (report, _, order) in REPORTS.items():
         write_report(report(scored), f"{out}/{name}.csv", order)
+    # Threads are the one large grouping. Both top lists rank the same groups, formed once.
+    threads = by_thread(scored).persist(StorageLevel.DISK_ONLY)
     for name, measure in (("top_pos_submissions", "Positive"), ("top_neg_submissions", "Negative")):
-        best = top_threads(scored, measure, min_group=min_group)
+        best = best_threads(threads, measure, min_group=min_group)
         rank = [best[measure].desc(), best["submission_score"], best["submission_id"]]
         write_report(best, f"{out}/{name}.csv", rank)
+    threads.unpersist()
