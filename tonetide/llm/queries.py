@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonetide.llm import mixing, topk
+from tonetide.llm import language, mixing, repeats, topk
+from tonetide.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -107,3 +108,17 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     return mixing.plan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    found = language.identify(docs.drop("lang"), language.fit(docs), keep_text=False)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of what is left of every document without passages of earlier documents."""
+    return repeats.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))

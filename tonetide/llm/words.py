@@ -67,20 +67,40 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each piece holds about ``CHUNK_BYTES`` of text, or one longer row."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each piece holds at most ``size`` bytes of text, or one longer row."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = buffers(batch.column(text))
         at = 0
         while at < batch.num_rows:
-            to = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1
+            to = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
 
 
+def valid(column: pa.Array) -> pa.Array:
+    """The column itself, or if it holds broken UTF-8, a copy with replacement characters."""
+    try:
+        column.validate(full=True)
+        return column
+    except pa.ArrowInvalid:
+        raw = column.cast(pa.binary()).to_pylist()
+        return pa.array([x if x is None else x.decode("utf-8", "replace") for x in raw], pa.string())
+
+
+def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all rows and where each row begins; null counts as empty."""
+    data, offsets = buffers(column)
+    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    leads = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    return points, leads[offsets]
+
+
 @dataclass
 class Words:
     data: np.ndarray  # bytes of all rows
