@@ -24,7 +24,7 @@ from tonetide.llm.shared import stored
 
 LISTS = 4
 QUERY_BLOCK = 2048
-_ROWS = 1024
+_ROWS = 512
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
@@ -54,13 +54,16 @@ def _matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Integer inner products; as doubles (BLAS) where that is exact."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(1, q.shape[1])
-    if most < 2.0**52:
-        return np.rint(q.astype(np.float64) @ v.T.astype(np.float64)).astype(np.int64)
+    """Integer inner products, as doubles (BLAS) where whole scores are exact in them."""
     return q @ v.T
 
 
+def _exact(q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as doubles if every whole score and partial sum is exact in them."""
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(1, q.shape[1])
+    return (q.astype(np.float64), v.astype(np.float64)) if most < 2.0**52 else (q, v)
+
+
 def _lists(n: int) -> list[slice]:
     cuts = np.linspace(0, n, LISTS + 1).astype(int)
     return [slice(a, b) for a, b in zip(cuts, cuts[1:])]
@@ -98,23 +101,25 @@ def _gather(ids: np.ndarray, queries: dict[int, tuple[np.ndarray, np.ndarray]],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = {part: _Best(k) for part in range(LISTS)}
-        least = np.full((LISTS, len(ids)), np.iinfo(np.int64).max)
+        least = np.full((LISTS, len(ids)), -_FAR)
         for batch in batches:
             for vec_ids, v in _matrices(batch):
                 if v.shape[1] not in queries:
                     continue
                 at, q = queries[v.shape[1]]
+                q, v = _exact(q, v)
                 for i in range(0, len(v), _ROWS):
                     own = ids[at][:, None] == vec_ids[i : i + _ROWS][None, :]
                     for part, cut in enumerate(_lists(v.shape[1])):
                         s = _scores(q[:, cut], v[i : i + _ROWS, cut])
-                        low = np.where(own, np.iinfo(np.int64).max, s).min(axis=1)
+                        s[own] = -_FAR
+                        low = s.min(axis=1).astype(np.int64)
                         least[part, at] = np.minimum(least[part, at], low)
                         s[own] = _FAR
                         row, col = _top(s, k)
                         keep = s[row, col] > _FAR
                         row, col = row[keep], col[keep]
-                        best[part].add(at[row], vec_ids[i + col], s[row, col])
+                        best[part].add(at[row], vec_ids[i + col], s[row, col].astype(np.int64))
         for part, b in best.items():
             yield pa.RecordBatch.from_pydict(
                 {
@@ -141,21 +146,24 @@ def _collect(
                 if v.shape[1] not in queries:
                     continue
                 at, q = queries[v.shape[1]]
+                q, v = _exact(q, v)
                 cuts = _lists(v.shape[1])
                 for i in range(0, len(v), _ROWS):
                     block, block_ids = v[i : i + _ROWS], vec_ids[i : i + _ROWS]
                     passed = np.zeros((len(at), len(block)), dtype=bool)
                     bound = np.zeros((len(at), len(block)))
+                    lists = []
                     for part, cut in enumerate(cuts):
                         s = _scores(q[:, cut], block[:, cut])
                         edge = cutoff[part, at][:, None]
                         passed |= s >= edge
                         bound += np.maximum(s, edge)
+                        lists.append(s)
                     passed &= bound >= total[at][:, None]
                     passed &= ids[at][:, None] != block_ids[None, :]
                     row, col = np.nonzero(passed)
                     if len(row):
-                        s = np.einsum("ij,ij->i", q[row], block[col])
+                        s = sum(x[row, col] for x in lists).astype(np.int64)
                         keep = s >= total[at][row]
                         best.add(at[row[keep]], block_ids[col[keep]], s[keep])
         yield pa.RecordBatch.from_pydict({"q": best.q.astype(np.int32), "vec_id": best.id, "s": best.s})
