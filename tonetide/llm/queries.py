@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonetide.llm import language, mixing, repeats, topk
+from tonetide.llm import jaccard, language, mixing, repeats, topk
 from tonetide.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of what is left of every document without passages of earlier documents."""
     return repeats.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of similar texts for every document."""
+    return jaccard.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
