@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonetide.llm import jaccard, language, mixing, repeats, topk
+from tonetide.llm import jaccard, language, mixing, repeats, topk, toxicity
 from tonetide.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of similar texts for every document."""
     return jaccard.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels of documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    found = toxicity.scores(docs, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
