@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonetide.llm import jaccard, language, mixing, repeats, topk, toxicity
+from tonetide.llm import contamination, jaccard, language, mixing, repeats, topk, toxicity
 from tonetide.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     found = toxicity.scores(docs, model)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items of which they hold a stretch."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination.leaks(docs, table(spark, sf_dir, "benchmark"))

@@ -21,6 +21,8 @@ _WORD_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# White space and ASCII punctuation: what is left are letters, digits and all of UTF-8 beyond ASCII.
+MARKS = np.array([not (chr(i).isalnum() or i >= 0x80) for i in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -122,13 +124,13 @@ class Words:
         return run_hashes(values, self.starts, self.ends, _BYTE_BASE)
 
 
-def split(column: pa.Array, lower: bool = False) -> Words:
-    """The words of each row; ``lower`` turns A-Z into a-z first."""
+def split(column: pa.Array, lower: bool = False, between: np.ndarray = SPACE) -> Words:
+    """The words of each row; ``lower`` turns A-Z into a-z first, ``between`` marks separators."""
     data, offsets = buffers(column)
     if lower:
         data = LOWER[data]
     inside = np.zeros(len(data) + 2, dtype=bool)
-    inside[1:-1] = ~SPACE[data]
+    inside[1:-1] = ~between[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
