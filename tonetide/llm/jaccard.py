@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tonetide.llm import words as W
@@ -75,13 +75,14 @@ def _documents(k: int, share: float):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([batch.column("doc_id"), pa.nulls(len(found), pa.int64())]),
+                    pa.concat_arrays([batch.column("key"), pa.nulls(len(found), pa.int64())]),
                     pa.array(np.concatenate((counts, times)).astype(np.int64)),
                     pa.concat_arrays(
                         [pa.array(names, mask=counts == 0), pa.array(found.view(np.int64))]
                     ),
                     pa.array(np.arange(len(counts) + len(found)) >= len(counts)),
                 ],
-                names=["doc_id", "n", "name", "frequent"],
+                names=["doc_id", "key", "n", "name", "frequent"],
             )
 
     return run
@@ -377,7 +378,7 @@ def _blocks(sets: DataFrame, groups: DataFrame, block_tokens: int) -> DataFrame:
 
 
 def similar_sets(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, **sizes) -> tuple:
-    """Documents with size and class (``doc_id n name``), and the links between classes (``a b``).
+    """Documents with size and class (``doc_id key n name``), and the links between classes (``a b``).
 
     The links are a forest: they connect exactly the classes that similarity connects.
     """
@@ -385,10 +386,12 @@ def similar_sets(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, **si
     bucket_tokens = sizes.get("bucket_tokens", BUCKET_TOKENS)
     share = sizes.get("frequent_share", FREQUENT_SHARE)
     block_tokens = sizes.get("block_tokens", BLOCK_TOKENS)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), "text"
+    )
     both = stored(
         texts.mapInArrow(
-            _documents(k, share), "doc_id long, n long, name long, frequent boolean"
+            _documents(k, share), "doc_id long, key long, n long, name long, frequent boolean"
         )
     )
     members = both.where(~F.col("frequent")).drop("frequent")
@@ -430,16 +433,54 @@ def classes(docs: DataFrame, **options) -> DataFrame:
     with nothing. Equal sets are linked whatever their ids; rows that repeat an id count as one
     document each. ``component_id`` is the smallest id reachable, null ids aside.
     """
-    members, links = similar_sets(docs, **options)
-    own = members.where(F.col("name").isNotNull()).groupBy("name").agg(F.min("doc_id").alias("least"))
-    roots = stored(components(links))
-    named = own.join(roots, F.col("name") == F.col("node"), "left").withColumn(
-        "root", F.coalesce("root", "name")
-    )
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_name = stored(named.join(least, "root").select(F.col("name").alias("__name"), "component_id"))
+    members, roots = _rooted(docs, **options)
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_name = roots.join(least, "root").select(F.col("name").alias("__name"), "component_id")
+    by_name = stored(by_name)
     return members.join(by_name, F.col("name") == F.col("__name"), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+def _rooted(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """Documents, and per class the ``root`` of its component and its ``least`` id and first row."""
+    members, links = similar_sets(docs, **options)
+    own = (
+        members.where(F.col("name").isNotNull())
+        .groupBy("name")
+        .agg(
+            F.min("doc_id").alias("least"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"),
+        )
+    )
+    roots = stored(components(links))
+    named = own.join(roots, F.col("name") == F.col("node"), "left").drop("node")
+    return members, stored(named.withColumn("root", F.coalesce("root", "name")))
+
+
+def row_key():
+    """Tells rows apart by id and text."""
+    return F.xxhash64("doc_id", "text")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The documents, all columns, without those similar to another that stays.
+
+    Of each component the row of least id stays (null ids last); rows that repeat both id and text
+    count as one. Documents without words stay, all of them.
+    """
+    members, roots = _rooted(docs, **options)
+    first = roots.groupBy("root").agg(F.min("first").alias("first"))
+    kept = first.select(F.col("first.key").alias("__key"), F.lit(True).alias("__once"))
+    empty = members.where(F.col("name").isNull()).select(F.col("key").alias("__key")).distinct()
+    kept = stored(kept.unionByName(empty.withColumn("__once", F.lit(False))))
+    place = F.row_number().over(Window.partitionBy("__row").orderBy("__row"))
+    return (
+        docs.withColumn("__row", row_key())
+        .join(kept, F.col("__row") == F.col("__key"))
+        .withColumn("__place", place)
+        .where(~F.col("__once") | (F.col("__place") == 1))
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    )
