@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonetide.llm import contamination, jaccard, language, mixing, repeats, topk, toxicity
+from tonetide.llm import contamination, html, jaccard, language, licenses, mixing, repeats, topk
+from tonetide.llm import toxicity, urls
 from tonetide.llm.shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +145,42 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     """Documents and the benchmark items of which they hold a stretch."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return contamination.leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License paragraphs of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.fit(docs))
+
+
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+@query()
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url.
+
+    The number in a page's path is the id of the document that it shows, so the document's label is
+    the page's: bad if of low quality or toxic.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    )
+    shown = F.regexp_extract(urls.path(F.col("url")), r"/([0-9]{1,18})(?:\D|$)", 1)
+    numbered = pages.withColumn("__doc", shown.try_cast("long"))
+    labelled = numbered.join(labels, F.col("__doc") == F.col("doc_id")).select("url", "bad")
+    return urls.judge(pages, urls.mine(labelled), URL_RULES)
+
+
+@query()
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
