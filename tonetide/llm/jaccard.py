@@ -29,8 +29,8 @@ from tonetide.llm.shared import stored
 
 SHINGLE = 5
 PERCENT = 80
-BUCKET_TOKENS = 2_000_000
-BLOCK_TOKENS = 1_500_000
+BUCKET_TOKENS = 1_000_000
+BLOCK_TOKENS = 1_000_000
 # A shingle in more than this share of documents is listed as frequent and sorted last. At most
 # (mean set size / share) shingles can be, whatever the number of documents.
 FREQUENT_SHARE = 0.01

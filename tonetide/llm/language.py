@@ -27,8 +27,8 @@ GRAM = 3
 SAMPLE_PER_LANGUAGE = 1024
 MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
-_ROWS = 256
-_CHUNK = 4 << 20
+_ROWS = 128
+_CHUNK = 2 << 20
 _UNIT = 1 << 24
 
 

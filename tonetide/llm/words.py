@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
