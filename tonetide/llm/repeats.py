@@ -215,10 +215,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group_rows: int = GROU
 
 
 def _kept(batch: pa.RecordBatch) -> tuple[W.Words, np.ndarray]:
-    """The words of a batch of texts with ``spans``, and which of them stay."""
+    """The words of a batch of texts with ``__spans``, and which of them stay."""
     text = W.split(batch.column("text"))
     step = np.zeros(len(text.starts) + 1, dtype=np.int64)
-    spans = batch.column("spans")
+    spans = batch.column("__spans")
     flat = spans.flatten()
     if len(flat):
         length = pc.fill_null(pc.list_value_length(spans), 0).to_numpy()
@@ -285,9 +285,9 @@ def _rewritten(names: list[str]):
 def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Add the spans of each row. Ids and text hashes hardly repeat, so no key is hot by itself."""
     lists = spans.groupBy("doc", "key").agg(
-        F.collect_list(F.struct("since", "until")).alias("spans")
+        F.collect_list(F.struct("since", "until")).alias("__spans")
     )
-    lists = lists.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), "spans")
+    lists = lists.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), "__spans")
     mine = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64("text") == F.col("__key"))
     return docs.join(lists, mine, "left").drop("__doc", "__key")
 
