@@ -57,7 +57,8 @@ def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _classes(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """A hash of each row's set."""
-    sums = np.concatenate(([0], np.cumsum(W.mixed(grams), dtype=np.uint64))).astype(np.uint64)
+    sums = np.zeros(len(grams) + 1, dtype=np.uint64)
+    np.cumsum(W.mixed(grams), out=sums[1:])
     cuts = np.concatenate(([0], np.cumsum(counts)))
     return W.mixed(sums[cuts[1:]] - sums[cuts[:-1]] + counts.astype(np.uint64))
 
