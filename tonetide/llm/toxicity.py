@@ -27,6 +27,7 @@ GRAMS = (3, 4, 5)
 PASSAGE = 2
 SAMPLE_PER_LABEL = 1000
 STEPS = 60
+TOXIC_WEIGHT = 0.5  # share of all toxic texts in the loss
 RATE = 0.1
 DECAY = 1e-2
 _OWN = np.uint64(0x51ED27F5)
@@ -125,8 +126,10 @@ def train(texts: list[Features], labels: np.ndarray) -> Model:
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (embed_used, softmax, bias)]
     first = np.cumsum([0, *[f.rows for f in texts]])
     toxic = (labels == 1).sum()
-    even = np.where(labels == 1, 0.5 / max(1, toxic), 0.5 / max(1, len(labels) - toxic))
-    weight = even * len(labels)
+    share = np.where(
+        labels == 1, TOXIC_WEIGHT / max(1, toxic), (1 - TOXIC_WEIGHT) / max(1, len(labels) - toxic)
+    )
+    weight = share * len(labels)
     for step in range(1, STEPS + 1):
         direction = softmax[:, 1] - softmax[:, 0]
         subword = embed_used @ direction
@@ -192,6 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
     rows = texts.join(sample, F.col("doc_id") == F.col("__id"))
     rows = rows.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "toxic")
     row = rows.mapInArrow(_trained, "subword binary, bias double").first()
+    if row is None:
+        return train([], np.zeros(0))
     return Model(np.frombuffer(row["subword"], np.float32), row["bias"])
 
 
