@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 
 from tonetide.llm.shared import bounded_sample, stored
 
-FEATURES = 1 << 15
+FEATURES = 1 << 14
 VARIANTS = 24
 SAMPLE_DOCUMENTS = 256
 SAMPLE_LINES = 4
 COVERAGE = 0.6
 PASSING_UNKNOWN = 0.01
 UNKNOWN = "unknown"
-_TEMPERATURES = (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0)
+_TEMPERATURES = (0.5, 0.75, 1.0, 1.5, 2.0)
 
 # Notices and characteristic sentences of well-known licenses, by family.
 TEXTS = {
@@ -88,7 +88,7 @@ TEXTS = {
     "public-domain": (
         "This is free and unencumbered software released into the public domain.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work (CC0).",
-        "This work is in the public domain.",
+        "Released into the public domain.",
     ),
     "all-rights-reserved": (
         "All rights reserved.",
@@ -96,6 +96,12 @@ TEXTS = {
     ),
 }
 
+# Words common in prose; others of a text are looked for first.
+COMMON = set(
+    "a all an and any are as at be by can either for from has have in is it its may no not of on or "
+    "should that the this to under was with without work you".split()
+)
+
 
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
@@ -111,11 +117,11 @@ def _anchors(coverage: float) -> list[str]:
     """Words of which every paragraph that covers a known text holds one.
 
     To hold ceil(coverage * n) of n words, a paragraph can miss all but one of any
-    n - ceil(coverage * n) + 1 words at most; the longest are the rarest in prose.
+    n - ceil(coverage * n) + 1 words at most; those that are rare in prose are taken, longest first.
     """
     found: set[str] = set()
     for text in (t for texts in TEXTS.values() for t in texts):
-        own = sorted(set(_plain(text)), key=lambda w: (-len(w), w))
+        own = sorted(set(_plain(text)), key=lambda w: (w in COMMON, -len(w), w))
         need = -int(-coverage * len(own) // 1)
         found.update(own[: len(own) - need + 1])
     return sorted(found)
@@ -248,13 +254,16 @@ def _sum(values: Column) -> Column:
 
 
 def _best(model, families: list[str], featured: DataFrame, temperature: float) -> DataFrame:
-    """Add ``__best``: the calibrated probability and name of the likeliest license family."""
+    """Add ``__best``: the likeliest license family, its calibrated probability, and ``license``,
+    the probability that the paragraph is of any family."""
 
     def named(chances: Column) -> Column:
         own = F.zip_with(
             F.slice(chances, 1, len(families) - 1),
             F.array(*[F.lit(f) for f in families[:-1]]),
-            lambda p, f: F.struct(p.alias("probability"), f.alias("family")),
+            lambda p, f: F.struct(
+                p.alias("probability"), f.alias("family"), (1 - chances[len(families) - 1]).alias("license")
+            ),
         )
         return F.array_max(own)
 
@@ -287,14 +296,16 @@ def fit(docs: DataFrame) -> Scanner:
     best = min(range(len(loss)), key=lambda i: (loss[i] is None, loss[i] or 0.0))
     temperature = _TEMPERATURES[best]
     unknown = _best(model, families, apart.where(F.col("family") == UNKNOWN), temperature)
-    cut = unknown.agg(F.percentile("__best.probability", 1 - PASSING_UNKNOWN)).first()[0]
+    cut = unknown.agg(F.percentile("__best.license", 1 - PASSING_UNKNOWN)).first()[0]
     return Scanner(model, families, temperature, max(0.5, min(0.95, cut or 0.5)))
 
 
 def scan(docs: DataFrame, scanner: Scanner, coverage: float = COVERAGE) -> DataFrame:
-    """One row per license paragraph: ``doc_id paragraph family probability template coverage``.
+    """One row per license paragraph:
+    ``doc_id paragraph family probability license template coverage``.
 
-    ``paragraph`` counts lines from 0, ``template`` is the known text of which the paragraph holds
+    ``paragraph`` counts lines from 0, ``probability`` is the family's and ``license`` that of any
+    license, which must reach the scanner's cut; ``template`` is the known text of which the paragraph holds
     the largest share, ``coverage`` that share. Null and empty texts have no paragraphs; rows that
     repeat an id are scanned each. Nothing is shuffled; candidate paragraphs are written once.
     """
@@ -307,14 +318,14 @@ def scan(docs: DataFrame, scanner: Scanner, coverage: float = COVERAGE) -> DataF
         scanner.model, scanner.families, _featured(stored(listed)), scanner.temperature
     )
     picked = scored.select("doc_id", "paragraph", "words", "__best.*").where(
-        F.col("probability") >= scanner.cut
+        F.col("license") >= scanner.cut
     )
     own = F.filter(_texts(), lambda t: t["family"] == F.col("family"))
     return (
         picked.withColumn("__text", _most_covered(own))
         .where(F.col("__text.share") >= coverage)
         .select(
-            "doc_id", "paragraph", "family", "probability",
+            "doc_id", "paragraph", "family", "probability", "license",
             F.col("__text.template").alias("template"),
             F.col("__text.share").alias("coverage"),
         )
