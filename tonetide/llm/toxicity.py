@@ -113,7 +113,12 @@ class Model:
 
 
 def train(texts: list[Features], labels: np.ndarray) -> Model:
-    """Fit embeddings and softmax jointly by Adam over all texts at once; always the same result."""
+    """Fit embeddings and softmax jointly by Adam over all texts at once; always the same result.
+
+    Without an example of both labels there is nothing to tell apart, and every text scores 0.
+    """
+    if len(np.unique(labels)) < 2:
+        return Model(np.zeros(BUCKETS, dtype=np.float32), -30.0)
     random = np.random.default_rng(7)
     embed = random.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     softmax = random.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
