@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tonetide.plans import postprocess, reports
 from tonetide.sources import readers, schemas, writers
 from tonetide.sources.ingest import clean_file, ingest
-from tonetide.sources.stages import is_complete, shared_dir, stage
+from tonetide.operators.ngrams import with_sanitized
+from tonetide.plans.inspect import plan_text
+from tonetide.sources.stages import is_complete, made_with, shared_dir, stage
 
 
 @pytest.fixture
@@ -154,13 +156,32 @@ def test_reports_and_tables_after_them(spark, out):
     assert [r.submission_id for r in top.collect()] == ["t2", "t1"]
 
 
-def test_spread_and_compact(spark, out):
-    spark.range(100).coalesce(1).write.parquet(f"{out}/small")
-    small = spark.read.parquet(f"{out}/small")
-    assert readers.spread(small, "id").rdd.getNumPartitions() == 8
-    wide = spark.range(100).repartition(16)
-    assert readers.spread(wide, "id") is wide
-    wide.write.parquet(f"{out}/wide")
-    stored = spark.read.parquet(f"{out}/wide")
-    assert readers.compact(stored).rdd.getNumPartitions() == 1
-    assert readers.compact(stored, bytes_per_task=1) is stored
+def test_columns_are_read_by_name(spark, out):
+    Path(out).mkdir(parents=True)
+    path = f"{out}/labels.csv"
+    Path(path).write_text("labeldjt,more,Input_id,labelgop,labeldem\n1,x,a,0,-1\n")
+    assert tuple(readers.read_labels(spark, path).first()) == ("a", "-1", "0", "1")
+    Path(path).write_text("Input_id,labeldem,labeldjt\na,1,1\n")
+    with pytest.raises(ValueError, match="labelgop"):
+        readers.read_labels(spark, path)
+
+
+def test_stages_know_what_they_were_made_with(spark, out):
+    def build():
+        return spark.range(3)
+
+    assert stage(spark, f"{out}/s", build, made_with(seed=1)).count() == 3
+    assert stage(spark, f"{out}/s", build, made_with(seed=1)).count() == 3
+    with pytest.raises(ValueError, match="seed"):
+        stage(spark, f"{out}/s", build, made_with(seed=2))
+    spark.range(2).write.parquet(f"{out}/theirs")
+    with pytest.raises(FileExistsError):
+        stage(spark, f"{out}/theirs", build)
+    assert spark.read.parquet(f"{out}/theirs").count() == 2
+
+
+def test_clean_file_does_not_shuffle(spark, out):
+    path = raw_comments(f"{out}/raw")
+    clean_file(spark, path, f"{out}/clean")
+    bodies = with_sanitized(spark.read.schema("body string").json(path), "body", "s")
+    assert "Exchange" not in plan_text(bodies)

@@ -7,7 +7,7 @@ from tonetide.catalog import QUERIES
 from tonetide.catalog import bindings as B
 from tonetide.functions.sql_surface import register_functions
 from tonetide.operators.filters import in_set, not_containing, not_starting_with
-from tonetide.operators.joins import HOT_KEYS, fits_broadcast, join_labels, join_threads
+from tonetide.operators.joins import fits_broadcast, join_labels, join_threads, skewed_join
 from tonetide.operators.ngrams import with_ngram_bag, with_sanitized
 from tonetide.operators.sampling import hash_sample
 from tonetide.operators.vocabulary import document_frequency
@@ -31,8 +31,6 @@ def stored(spark):
 
 def test_no_query_runs_python(spark):
     for name, q in QUERIES.items():
-        if "M" in {c[0] for c in q.covers} or "S" in {c[0] for c in q.covers}:
-            continue
         plan = plan_text(q.run(spark, SF))
         assert "EvalPython" not in plan and "InPandas" not in plan, name
 
@@ -71,9 +69,35 @@ def test_joins_broadcast_only_what_fits(stored, conf):
     assert not fits_broadcast(threads)
     plan = plan_text(join_threads(comments, threads))
     assert "SortMergeJoin Inner" in plan
-    # Only the list of hot keys, of bounded length, is broadcast.
+    # Only the list of hot keys, fewer than 1 / HOT_SHARE, is broadcast.
     assert plan.split("\n\n")[0].count("BroadcastExchange") == 2
-    assert plan.count(f"Arguments: {HOT_KEYS}, [count") == 2
+
+
+def test_a_limit_above_the_session_threshold_still_broadcasts(stored, conf):
+    comments, threads = stored["comments"], stored["threads"]
+    conf("spark.sql.autoBroadcastJoinThreshold", "100")
+
+    def plan(limit):
+        return plan_text(
+            skewed_join(comments, threads.withColumnRenamed("id", "t"), "link_id", "t", "id",
+                        hot_rows=1000, broadcast_limit=limit)
+        ).split("\n\n")[0]
+
+    assert "BroadcastHashJoin" in plan(1 << 30) and "SortMergeJoin" not in plan(1 << 30)
+    assert "SortMergeJoin" in plan(1000)
+
+
+def test_label_keys_filter_the_texts_first(spark, stored, conf):
+    out = shared_dir(spark)
+    wide = B.labels(spark, SF).select(
+        *[F.col(c) for c in B.labels(spark, SF).columns], F.repeat("Input_id", 500).alias("note")
+    )
+    wide.write.parquet(f"{out}/labels")
+    labels = spark.read.parquet(f"{out}/labels")
+    conf("spark.sql.autoBroadcastJoinThreshold", "4000")
+    assert not fits_broadcast(labels) and fits_broadcast(labels.select("Input_id"))
+    tree = plan_text(join_labels(labels, stored["comments"], "Input_id", "id")).split("\n\n")[0]
+    assert "BroadcastHashJoin LeftSemi" in tree and "SortMergeJoin Inner" in tree
 
 
 def test_label_join_reads_two_text_columns(spark, stored):

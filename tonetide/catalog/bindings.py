@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tonetide.constants import REGIONS
 from tonetide.functions.values import epoch_to_day, strip_prefix
-from tonetide.sources.readers import read_table, spread
+from tonetide.sources.readers import read_table
 
 # Values no region filter may keep, next to those it keeps.
 REGION_VALUES = [*REGIONS, "ohio", "Puerto Rico", None]
@@ -26,8 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """``doc_id`` and the given columns, spread over the cores if the file is too small to be."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns), "doc_id")
+    """``doc_id`` and the given columns.
+
+    The test file is one row group and would be one task; it is dealt over the session's cores.
+    """
+    df = table(spark, sf_dir, "documents").select("doc_id", *columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "doc_id")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:

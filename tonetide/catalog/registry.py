@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -29,13 +27,7 @@ def query(covers: str, sql: str | None = None) -> Callable[[Run], Run]:
     """
 
     def register(run: Run) -> Run:
-        @wraps(run)
-        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Days depend on the session zone; SQL reads the timestamps as UTC.
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return run(spark, sf_dir)
-
-        QUERIES[run.__name__] = Query(run.__name__, tuple(covers.split()), in_utc, sql)
+        QUERIES[run.__name__] = Query(run.__name__, tuple(covers.split()), run, sql)
         return run
 
     return register

@@ -14,8 +14,11 @@ def _column(c: Column | str) -> Column:
 
 
 def binary_label(c: Column | str, value: int) -> Column:
-    """1 where a textual label equals ``value``, else 0; null or malformed text gives 0."""
-    return F.when(_column(c).try_cast("int") == value, 1).otherwise(0)
+    """1 where a textual label equals ``value``, else 0; null or malformed text gives 0.
+
+    A number with decimals counts by its whole part, so ``"1.0"`` is 1.
+    """
+    return F.when(_column(c).try_cast("double").try_cast("int") == value, 1).otherwise(0)
 
 
 def flag(probability: Column | str, threshold: float, float32: bool = False) -> Column:
@@ -48,8 +51,9 @@ def strip_prefix(c: Column | str, prefix: str) -> Column:
 
 
 def epoch_to_day(c: Column | str) -> Column:
-    """Epoch seconds to a ``yyyy-MM-dd`` string in the session time zone (pin it to UTC)."""
-    return F.from_unixtime(_column(c), DAY_FORMAT)
+    """Epoch seconds to a ``yyyy-MM-dd`` string in UTC, whatever the session's time zone."""
+    days = F.floor(_column(c) / 86_400).cast("int")
+    return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), days), DAY_FORMAT)
 
 
 def parse_day(c: Column | str) -> Column:

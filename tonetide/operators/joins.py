@@ -15,9 +15,10 @@ from tonetide.functions.values import ltrim_chars, strip_prefix
 from tonetide.operators.filters import not_containing, not_starting_with
 from tonetide.sources.readers import estimated_bytes
 
-# At most this many keys can each hold more than 1/100,000 of all rows, so a list of the largest
-# keys of this length misses no key worth splitting. It also bounds what is broadcast.
-HOT_KEYS = 100_000
+# A key is split if it holds more than ``hot_rows`` rows and more than this share of all rows. By
+# counting, fewer than 1 / share keys do, which bounds what is broadcast; a key below the share is
+# small beside what a task reads anyway.
+HOT_SHARE = 1 / 100_000
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
@@ -31,18 +32,17 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """The (at most ``HOT_KEYS``) keys with more than ``hot_rows`` rows.
+    """The keys with more than ``hot_rows`` rows and more than ``HOT_SHARE`` of all rows.
 
-    Columns ``__hot`` and ``__splits``, the number of parts of ``hot_rows`` rows each. Counting
-    is pre-aggregated on the map side and reads one column.
+    Columns ``__hot`` and ``__splits``, the number of parts of that size. Counting is pre-aggregated
+    on the map side and reads one column; every key that passes is listed.
     """
+    least = max(hot_rows, int(df.count() * HOT_SHARE))
     return (
         df.groupBy(F.col(key).alias("__hot"))
         .count()
-        .filter((F.col("count") > hot_rows) & F.col("__hot").isNotNull())
-        .orderBy(F.desc("count"), "__hot")
-        .limit(HOT_KEYS)
-        .select("__hot", F.ceil(F.col("count") / hot_rows).cast("int").alias("__splits"))
+        .filter((F.col("count") > least) & F.col("__hot").isNotNull())
+        .select("__hot", F.ceil(F.col("count") / least).cast("int").alias("__splits"))
     )
 
 
@@ -65,7 +65,10 @@ def skewed_join(
     enough to broadcast, there is no shuffle to balance.
     """
     if fits_broadcast(right, broadcast_limit):
-        return left.join(right, F.col(left_key) == F.col(right_key))
+        # Within the session's limit Spark broadcasts by itself; above it, the checked size must
+        # be said, or both sides would shuffle with their hot keys whole.
+        checked = right if broadcast_limit is None else F.broadcast(right)
+        return left.join(checked, F.col(left_key) == F.col(right_key))
     hot = F.broadcast(hot_keys(left if keys_of is None else keys_of, left_key, hot_rows))
     splits = F.coalesce(F.col("__splits"), F.lit(1))
     left = (
@@ -88,8 +91,16 @@ def skewed_join(
 def join_labels(
     labels: DataFrame, texts: DataFrame, label_key: str, text_key: str, body: str = "body"
 ) -> DataFrame:
-    """Labels with the text they belong to; only the key and ``body`` of the texts are read."""
+    """Labels with the text they belong to; only the key and ``body`` of the texts are read.
+
+    If the labels are too large to broadcast but their keys are not, the keys alone filter the
+    texts first, so that only labelled texts shuffle.
+    """
     bodies = texts.select(F.col(text_key).alias("__text_key"), F.col(body).alias("body"))
+    keys = labels.select(F.col(label_key).alias("__label_key"))
+    if not fits_broadcast(labels) and fits_broadcast(keys):
+        wanted = F.broadcast(keys.where(F.col("__label_key").isNotNull()).distinct())
+        bodies = bodies.join(wanted, F.col("__text_key") == F.col("__label_key"), "left_semi")
     return labels.join(bodies, F.col(label_key) == F.col("__text_key")).drop("__text_key")
 
 

@@ -117,13 +117,17 @@ def train_pair(
     )
 
 
-def stage_classifier(spark: SparkSession, path: str, build) -> CrossValidatorModel:
+def stage_classifier(
+    spark: SparkSession, path: str, build, parameters: str = "{}"
+) -> CrossValidatorModel:
     """Load the classifier saved under ``path``, or train and save it."""
-    return stage_model(spark, path, CrossValidatorModel.load, build)
+    return stage_model(spark, path, CrossValidatorModel.load, build, parameters)
 
 
-def stage_vocabulary(spark: SparkSession, path: str, build) -> CountVectorizerModel:
-    return stage_model(spark, path, CountVectorizerModel.load, build)
+def stage_vocabulary(
+    spark: SparkSession, path: str, build, parameters: str = "{}"
+) -> CountVectorizerModel:
+    return stage_model(spark, path, CountVectorizerModel.load, build, parameters)
 
 
 def _probability_only(model: CrossValidatorModel, out: str) -> LogisticRegressionModel:

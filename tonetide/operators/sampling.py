@@ -14,8 +14,11 @@ def sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def key_position(key: str, salt: str = "") -> Column:
-    """A key's fixed pseudo-random position in [0, 1), the same on any engine and layout."""
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(salt)))
+    """A key's fixed pseudo-random position in [0, 1), the same on any engine and layout.
+
+    A null key has the position of an empty one, so that no sample or split loses it.
+    """
+    digest = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(salt)))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(2.0**32)
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonetide.constants import MIN_DOCUMENT_FREQUENCY, VOCABULARY_SIZE
+from tonetide.sources.stages import shared_dir, stage
 
 
 def document_frequency(df: DataFrame, tokens: str, min_df: int = 1) -> DataFrame:
@@ -41,11 +44,25 @@ def fit_vocabulary(
 ) -> CountVectorizerModel:
     """The ``size`` most frequent terms found in at least ``min_df`` rows.
 
-    Ties go by the term itself, so the feature numbering repeats on any cluster. ``size`` bounds
-    what reaches the driver; everything larger stays in the distributed aggregation.
+    Ties go by the term itself, so the feature numbering repeats on any cluster. The counts are
+    written once. How many terms have each frequency gives the lowest one that still fits; terms
+    above it, fewer than ``size``, are collected, and those at it are read in order until ``size``
+    is reached, one sorted partition at a time. No partition sends its own list of ``size`` terms.
     """
-    ranked = document_frequency(df, tokens, min_df).orderBy(F.desc("tf"), "term").limit(size)
-    terms = [row.term for row in ranked.select("term").collect()]
+    spark = df.sparkSession
+    counts = stage(spark, f"{shared_dir(spark)}/terms", lambda: document_frequency(df, tokens, min_df))
+    left, cut = size, None
+    for row in counts.groupBy("tf").count().sort(F.desc("tf")).toLocalIterator():
+        if row["count"] > left:
+            cut = row["tf"]
+            break
+        left -= row["count"]
+    above = counts if cut is None else counts.where(F.col("tf") > cut)
+    found = sorted((-row.tf, row.term.encode(), row.term) for row in above.collect())
+    terms = [term for _, _, term in found]
+    if cut is not None and left:
+        ties = counts.where(F.col("tf") == cut).select("term").sort("term").toLocalIterator()
+        terms += [row.term for row in islice(ties, left)]
     if not terms:
         raise ValueError(f"no term occurs in {min_df} rows or more; lower min_df")
     model = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens, outputCol=out)

@@ -8,8 +8,7 @@ from tonetide.plans.reports import write_reports
 from tonetide.plans.score import score
 from tonetide.plans.train import train
 from tonetide.sources.ingest import ingest
-from tonetide.sources.readers import spread
-from tonetide.sources.stages import stage
+from tonetide.sources.stages import made_with, stage
 
 
 def run(
@@ -20,19 +19,27 @@ def run(
     workdir: str,
     seed: int,
     fraction: float = 1.0,
+    scoring: dict | None = None,
+    min_group: int = 1,
     **training,
 ) -> DataFrame:
     """Raw files to seven report files under ``workdir/reports``; returns the scored table.
 
-    Every finished stage under ``workdir`` (a shared folder) is reused by the next run.
+    Every finished stage under ``workdir`` (a shared folder) is reused by the next run with the same
+    inputs and parameters; with others, it is an error. ``scoring`` goes to ``plans.score.score``
+    (thresholds, ``float32``, ``strip``), ``min_group`` to the top lists.
     """
+    scoring = scoring or {}
+    inputs = made_with(comments=comments, threads=threads, labels=labels)
 
     def scored() -> DataFrame:
         texts, parents, labeled = ingest(spark, comments, threads, labels, workdir)
-        texts = spread(texts, "id")
-        models, _ = train(spark, labeled, texts, workdir, seed, **training)
-        return score(models, texts, parents, fraction)
-
-    result = stage(spark, f"{workdir}/full_sentiment", scored)
-    write_reports(result, f"{workdir}/reports")
+        models, _ = train(spark, labeled, texts, workdir, seed, inputs=inputs, **training)
+        return score(models, texts, parents, fraction, **scoring)
+
+    parameters = made_with(
+        inputs=inputs, seed=seed, fraction=fraction, scoring=scoring, training=training
+    )
+    result = stage(spark, f"{workdir}/full_sentiment", scored, parameters)
+    write_reports(result, f"{workdir}/reports", min_group)
     return result

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tonetide.constants import REGIONS, TOP_THREADS
@@ -16,6 +15,7 @@ from tonetide.functions.values import epoch_to_day
 from tonetide.operators.filters import in_set
 from tonetide.operators.rollups import ordered, percent_rollup, top_k
 from tonetide.sources import schemas
+from tonetide.sources.stages import shared_dir, stage
 from tonetide.sources.writers import write_report
 
 
@@ -75,10 +75,11 @@ def write_reports(scored: DataFrame, out: str, min_group: int = 1) -> None:
     """Write all seven reports as ``<out>/<name>.csv``."""
     for name, (report, _, order) in REPORTS.items():
         write_report(report(scored), f"{out}/{name}.csv", order)
-    # Threads are the one large grouping. Both top lists rank the same groups, formed once.
-    threads = by_thread(scored).persist(StorageLevel.DISK_ONLY)
+    # Threads are the one large grouping. Both top lists rank the same groups, formed once and
+    # written where a lost executor does not take them along.
+    spark = scored.sparkSession
+    threads = stage(spark, f"{shared_dir(spark)}/threads", lambda: by_thread(scored))
     for name, measure in (("top_pos_submissions", "Positive"), ("top_neg_submissions", "Negative")):
         best = best_threads(threads, measure, min_group=min_group)
         rank = [best[measure].desc(), best["submission_score"], best["submission_id"]]
         write_report(best, f"{out}/{name}.csv", rank)
-    threads.unpersist()

@@ -27,8 +27,7 @@ from tonetide.operators.models import (
 from tonetide.operators.ngrams import with_ngram_bag
 from tonetide.operators.sampling import hash_split
 from tonetide.operators.vocabulary import fit_vocabulary, vectorize
-from tonetide.sources.readers import compact
-from tonetide.sources.stages import stage
+from tonetide.sources.stages import made_with, stage
 
 GRAMS = "grams"
 
@@ -58,31 +57,45 @@ def train(
     folds: int = FOLDS,
     weights: Sequence[float] = TRAIN_WEIGHTS,
     parallelism: int = 1,
+    inputs: str = "",
 ) -> tuple[Models, DataFrame]:
     """Train, or reuse what an earlier run finished under ``workdir``.
 
+    A stage made with other parameters, or from other ``inputs`` (a name for labels and comments,
+    such as their paths), is not reused but an error.
+
     Returns the models and the held-out part with ``features`` and both labels. The labeled
     n-grams and vectors are written tables: every pass of the optimizer re-reads them instead
     of repeating the join and the text cleaning, also after losing an executor.
     """
-    grams = stage(spark, f"{workdir}/ngrams", lambda: labeled_ngrams(labels, comments))
+    base = {"inputs": inputs}
+    terms = base | {"min_df": min_df, "vocabulary_size": vocabulary_size}
+    fit = terms | {
+        "reg_params": list(reg_params), "folds": folds, "weights": list(weights), "seed": seed
+    }
+    grams = stage(
+        spark, f"{workdir}/ngrams", lambda: labeled_ngrams(labels, comments), made_with(**base)
+    )
     vocabulary = stage_vocabulary(
         spark,
         f"{workdir}/vocabulary",
         lambda: fit_vocabulary(grams, GRAMS, FEATURES, min_df, vocabulary_size),
+        made_with(**terms),
     )
     data = stage(
         spark,
         f"{workdir}/sentiment",
         lambda: with_labels(vectorize(vocabulary, grams).drop(GRAMS)),
+        made_with(**terms),
     )
-    training, held_out = hash_split(compact(data), "Input_id", weights, salt=f":split:{seed}")
+    training, held_out = hash_split(data, "Input_id", weights, salt=f":split:{seed}")
 
     def classifier(label: str):
         return stage_classifier(
             spark,
             f"{workdir}/{label}",
             lambda: train_one(training, "Input_id", label, reg_params, folds, seed, parallelism),
+            made_with(**fit),
         )
 
     # The two classifiers are independent; their jobs share the cluster.

@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from tonetide.operators.ngrams import with_sanitized
 from tonetide.sources import readers
-from tonetide.sources.stages import stage
+from tonetide.sources.stages import made_with, stage
 
 
 def ingest(
     spark: SparkSession, comments: str, threads: str, labels: str, out: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Three raw inputs to ``comments``, ``threads`` and ``labels`` tables under ``out``."""
+
+    def table(name: str, read, path: str) -> DataFrame:
+        return stage(spark, f"{out}/{name}", lambda: read(spark, path), made_with(input=path))
+
     return (
-        stage(spark, f"{out}/comments", lambda: readers.read_comments(spark, comments)),
-        stage(spark, f"{out}/threads", lambda: readers.read_threads(spark, threads)),
-        stage(spark, f"{out}/labels", lambda: readers.read_labels(spark, labels)),
+        table("comments", readers.read_comments, comments),
+        table("threads", readers.read_threads, threads),
+        table("labels", readers.read_labels, labels),
     )
 
 
@@ -25,8 +29,8 @@ def clean_file(spark: SparkSession, path: str, out: str) -> DataFrame:
     """Clean the ``body`` of every line of a JSON-lines file into a four-column table."""
 
     def build() -> DataFrame:
-        bodies = readers.spread(spark.read.schema("body string").json(path), "body")
+        bodies = spark.read.schema("body string").json(path)
         cleaned = with_sanitized(bodies, "body", "sanitized")
         return cleaned.select(F.col("sanitized.*"))
 
-    return stage(spark, out, build)
+    return stage(spark, out, build, made_with(input=path))

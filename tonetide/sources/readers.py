@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tonetide.sources import schemas
 
@@ -20,7 +20,7 @@ def read_threads(spark: SparkSession, path: str) -> DataFrame:
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header; every column stays text, labels are cast where they are used."""
-    return spark.read.schema(schemas.LABELS).option("header", True).csv(path)
+    return _csv_by_name(spark, path, schemas.LABELS)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -29,32 +29,22 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A report file written by ``write_report``."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return _csv_by_name(spark, path, schema)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread rows over the cores if the scan has fewer splits than the session has cores.
+def _csv_by_name(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Columns by the header's names, in whatever order the file has them, and others left out.
 
-    A small file with one row group is one task, however many cores are free. Large inputs
-    have far more splits than cores and pass unchanged: no shuffle is added to them. Give a
-    freshly read table, with a unique ``key``.
+    A column that the header lacks is an error.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    text = spark.read.option("header", True).csv(path)
+    wanted = T.StructType.fromDDL(schema).fields
+    missing = [f.name for f in wanted if f.name not in text.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own estimate of a table's size: file sizes for a scan, no job is run."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def compact(df: DataFrame, bytes_per_task: int = 16 << 20) -> DataFrame:
-    """Merge splits of a freshly read small table, for work that passes over it many times.
-
-    An optimizer runs dozens of short jobs; on a few megabytes, task start-up would be most of
-    each. Splits are only ever merged up to ``bytes_per_task``.
-    """
-    tasks = max(1, math.ceil(estimated_bytes(df) / bytes_per_task))
-    return df.coalesce(tasks) if tasks < df.rdd.getNumPartitions() else df
