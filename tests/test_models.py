@@ -1,5 +1,8 @@
 """Vocabulary, training, scoring and evaluation."""
 
+import os
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,7 +168,39 @@ def test_whole_run(spark, tables):
     paths = (f"{out}/raw/comments", f"{out}/raw/threads", f"{out}/raw/labels")
     scored = run(spark, *paths, f"{out}/work", seed=5)
     assert scored.count() == 300
-    again = run(spark, "/no/such", "/no/such", "/no/such", f"{out}/work", seed=5)
+    shutil.rmtree(f"{out}/raw")  # finished stages need no input any more
+    again = run(spark, *paths, f"{out}/work", seed=5)
+    with pytest.raises(ValueError, match="seed"):
+        run(spark, *paths, f"{out}/work", seed=6)
+    with pytest.raises(ValueError, match="no/such"):
+        run(spark, "/no/such", *paths[1:], f"{out}/work", seed=5)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, scored.collect()))
     overall = spark.read.option("header", True).csv(f"{out}/work/reports/raw_percentages.csv")
     assert overall.columns == ["Positive", "Negative"] and overall.count() == 1
+
+
+def test_vocabulary_ties_over_many_partitions(spark):
+    rows = [([f"t{i:03d}"] * (3 if i < 10 else 2),) for i in range(300)]
+    df = spark.createDataFrame(rows, "tokens array<string>").repartition(64)
+    for size in (5, 10, 57, 300, 1000):
+        got = fit_vocabulary(df, "tokens", "v", min_df=1, size=size).vocabulary
+        assert got == [f"t{i:03d}" for i in range(min(size, 300))]
+
+
+def test_a_half_saved_model_is_rebuilt(spark, tmp_path):
+    from pyspark.ml.feature import CountVectorizerModel
+
+    from tonetide.operators.models import stage_vocabulary
+
+    path = f"{tmp_path}/vocabulary"
+    calls = []
+
+    def build():
+        calls.append(1)
+        return CountVectorizerModel.from_vocabulary(["a", "b"], inputCol="t", outputCol="v")
+
+    assert stage_vocabulary(spark, path, build).vocabulary == ["a", "b"]
+    assert stage_vocabulary(spark, path, build).vocabulary == ["a", "b"] and len(calls) == 1
+    os.remove(f"{path}/_SUCCESS")  # as when the save broke after the metadata
+    shutil.rmtree(f"{path}/data")
+    assert stage_vocabulary(spark, path, build).vocabulary == ["a", "b"] and len(calls) == 2

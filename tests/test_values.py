@@ -62,3 +62,15 @@ def test_class_probability(spark):
     assert df.select(V.class_probability("v")).first()[0] == 0.75
     assert df.select(V.class_probability("v", 0)).first()[0] == 0.25
     assert df.select(F.col("v")).count() == 1
+
+
+def test_days_do_not_depend_on_the_session_zone(spark, conf):
+    for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
+        conf("spark.sql.session.timeZone", zone)
+        assert one(spark, 1514764799, "long", V.epoch_to_day("x")) == "2017-12-31"
+        assert one(spark, -1, "long", V.epoch_to_day("x")) == "1969-12-31"
+
+
+def test_labels_with_decimals(spark):
+    assert one(spark, "1.0", "string", V.binary_label("x", 1)) == 1
+    assert one(spark, "1x", "string", V.binary_label("x", 1)) == 0

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonetide.catalog import bindings as B
 from tonetide.catalog.registry import query
 from tonetide.catalog.files import _write_json, _write_labels
-from tonetide.constants import NEGATIVE_THRESHOLD, POSITIVE_THRESHOLD
+from tonetide.catalog.samples import _position
+from tonetide.catalog.terms import LABELED_TERMS
+from tonetide.constants import FOLDS, NEGATIVE_THRESHOLD, POSITIVE_THRESHOLD, TRAIN_WEIGHTS
+from tonetide.functions.values import class_probability
 from tonetide.operators.joins import merge_scores
-from tonetide.operators.models import Models, evaluate_auc, score
+from tonetide.operators.models import FOLD, Models, evaluate_auc, score, with_folds
 from tonetide.operators.ngrams import with_ngram_bag
+from tonetide.operators.sampling import hash_split
 from tonetide.plans import reports as R
 from tonetide.plans.full_run import run
 from tonetide.plans.train import GRAMS, held_out_auc, train
@@ -50,6 +55,11 @@ def _scored(spark, sf_dir, models=None):
     return score(models or _trained(spark, sf_dir)[0], _grams(spark, sf_dir))
 
 
+def _sure(condition):
+    """The condition, with null as false: a missing score agrees with nothing."""
+    return F.coalesce(condition, F.lit(False))
+
+
 @query("M3 M4 M5 M7")
 def trained_classifiers(spark, sf_dir):
     models, _ = _trained(spark, sf_dir)
@@ -80,9 +90,10 @@ def scored_documents(spark, sf_dir):
 def scores_are_consistent(spark, sf_dir):
     """Every document is scored; probabilities are in range and agree with their flags."""
     p, q = F.col("pos_probability"), F.col("neg_probability")
-    in_range = p.between(0.0, 1.0) & q.between(0.0, 1.0)
-    agree = (F.col("pos") == (p > POSITIVE_THRESHOLD).cast("int")) & (
-        F.col("neg") == (q > NEGATIVE_THRESHOLD).cast("int")
+    in_range = _sure(p.between(0.0, 1.0) & q.between(0.0, 1.0))
+    agree = _sure(
+        (F.col("pos") == (p > POSITIVE_THRESHOLD).cast("int"))
+        & (F.col("neg") == (q > NEGATIVE_THRESHOLD).cast("int"))
     )
     return _scored(spark, sf_dir).agg(
         F.count(F.lit(1)).alias("n"),
@@ -104,7 +115,7 @@ def one_pass_equals_join(spark, sf_dir):
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(
-                (F.col("pos") != F.col("pos2")) | (F.col("neg") != F.col("neg2"))
+                ~_sure((F.col("pos") == F.col("pos2")) & (F.col("neg") == F.col("neg2")))
             ).alias("different"),
         )
     )
@@ -134,9 +145,10 @@ def scores_recomputed_from_terms(spark, sf_dir):
         margin = F.coalesce(F.col(total), F.lit(0.0)) + F.lit(float(intercept))
         return 1.0 / (1.0 + F.exp(-margin))
 
-    different = (
-        F.abs(F.col("pos_probability") - probability("w", best[0].intercept)) > 1e-9
-    ) | (F.abs(F.col("neg_probability") - probability("v", best[1].intercept)) > 1e-9)
+    different = ~_sure(
+        (F.abs(F.col("pos_probability") - probability("w", best[0].intercept)) <= 1e-9)
+        & (F.abs(F.col("neg_probability") - probability("v", best[1].intercept)) <= 1e-9)
+    )
     return (
         _scored(spark, sf_dir)
         .join(sums, "id", "left")
@@ -152,8 +164,8 @@ def saved_models_score_alike(spark, sf_dir):
     again = _scored(spark, sf_dir, Models.load(path)).select(
         "id", F.col("pos_probability").alias("p2"), F.col("neg_probability").alias("q2")
     )
-    different = (F.col("pos_probability") != F.col("p2")) | (
-        F.col("neg_probability") != F.col("q2")
+    different = ~_sure(
+        (F.col("pos_probability") == F.col("p2")) & (F.col("neg_probability") == F.col("q2"))
     )
     return (
         _scored(spark, sf_dir)
@@ -175,7 +187,7 @@ def staged_models_are_reused(spark, sf_dir):
         .join(again, "id")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("pos_probability") != F.col("p2")).alias("different"),
+            F.count_if(~_sure(F.col("pos_probability") == F.col("p2"))).alias("different"),
         )
     )
 
@@ -210,6 +222,99 @@ def held_out_quality(spark, sf_dir):
     )
 
 
+def _split(spark, sf_dir):
+    """Training and held-out rows, with vectors and both labels."""
+    _, workdir = _trained(spark, sf_dir)
+    data = spark.read.parquet(f"{workdir}/sentiment")
+    return hash_split(data, "Input_id", TRAIN_WEIGHTS, salt=f":split:{SEED}")
+
+
+_LABELED = "SELECT CAST(l.doc_id AS VARCHAR) AS id FROM labels l JOIN documents USING (doc_id)"
+_FIRST = f"{_position('id', f':split:{SEED}')} < CAST({TRAIN_WEIGHTS[0] / sum(TRAIN_WEIGHTS)} AS DOUBLE)"
+
+
+@query(
+    "M5 M7",
+    f"""SELECT CASE WHEN {_FIRST} THEN
+                 CAST(floor({_position('id', f':fold:{SEED}')} * {FOLDS}) AS INTEGER) ELSE -1 END AS fold,
+               count(*) AS n
+        FROM ({_LABELED}) GROUP BY ALL""",
+)
+def fold_sizes(spark, sf_dir):
+    """Rows of each fold of the training part; fold -1 is the part held out."""
+    training, held_out = _split(spark, sf_dir)
+    folds = with_folds(training, "Input_id", FOLDS, SEED).select(F.col(FOLD).alias("fold"))
+    apart = held_out.select(F.lit(-1).alias("fold"))
+    return folds.unionByName(apart).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "M3 M4",
+    f"""SELECT c AS classifier, (SELECT count(*) FROM ({LABELED_TERMS})) AS features,
+               TRUE AS better_than_constant
+        FROM (VALUES ('positive'), ('negative')) t(c)""",
+)
+def classifiers_beat_a_constant(spark, sf_dir):
+    """A feature per vocabulary term, and a lower training loss than the intercept-only model's."""
+    models, _ = _trained(spark, sf_dir)
+    training, _ = _split(spark, sf_dir)
+    parts = []
+    for name, model, label in (
+        ("positive", models.positive, "pos_label"), ("negative", models.negative, "neg_label")
+    ):
+        y = F.col(label)
+        best = model.bestModel
+        p = class_probability(best.getProbabilityCol())
+        scored = best.transform(training.select("features", label))
+        loss = -F.avg(F.when(y == 1, F.log(p)).otherwise(F.log(1 - p)))
+        rate = F.avg(y.cast("double"))
+        constant = -(rate * F.log(rate) + (1 - rate) * F.log(1 - rate))
+        parts.append(
+            scored.agg(_sure(loss < constant).alias("better_than_constant")).select(
+                F.lit(name).alias("classifier"),
+                F.lit(int(best.numFeatures)).cast("long").alias("features"),
+                "better_than_constant",
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "M9 M6",
+    f"""SELECT c AS classifier, CAST(count_if(NOT {_FIRST}) AS BIGINT) AS n, TRUE AS equal
+        FROM ({_LABELED}), (VALUES ('positive'), ('negative')) t(c) GROUP BY c""",
+)
+def held_out_auc_is_a_rank_sum(spark, sf_dir):
+    """The evaluator's area under ROC is the rank sum of the scored held-out rows."""
+    models, _ = _trained(spark, sf_dir)
+    _, held_out = _split(spark, sf_dir)
+    told = dict(zip(("positive", "negative"), held_out_auc(models, held_out)))
+    parts = []
+    for name, model, label in (
+        ("positive", models.positive, "pos_label"), ("negative", models.negative, "neg_label")
+    ):
+        best = model.bestModel
+        scored = best.transform(held_out.select("features", label)).select(
+            F.col(label).alias("y"), vector_to_array(best.getRawPredictionCol())[1].alias("s")
+        )
+        # Scores by value: as many ranks as there are distinct scores, not rows, meet in the window.
+        by_score = scored.groupBy("s").agg(
+            F.sum(F.col("y").cast("double")).alias("ones"), F.count(F.lit(1)).alias("rows")
+        )
+        before = F.coalesce(
+            F.sum("rows").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        )
+        ranked = by_score.withColumn("rank", before + (F.col("rows") + 1) / 2)
+        ones, rows = F.sum("ones"), F.sum("rows")
+        auc = (F.sum(F.col("ones") * F.col("rank")) - ones * (ones + 1) / 2) / (ones * (rows - ones))
+        parts.append(
+            ranked.agg(
+                rows.alias("n"), _sure(F.abs(auc - F.lit(told[name])) < 1e-9).alias("equal")
+            ).select(F.lit(name).alias("classifier"), "n", "equal")
+        )
+    return parts[0].unionByName(parts[1])
+
+
 _RUNS: dict[tuple[str, str], DataFrame] = {}
 
 

@@ -12,7 +12,8 @@ from tonetide.operators.sampling import hash_sample, hash_split, sample, split
 
 def _position(key: str, salt: str = "") -> str:
     return (
-        f"CAST(CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || '{salt}'), 1, 8) AS BIGINT)"
+        f"CAST(CAST('0x' || substr(md5(coalesce(CAST({key} AS VARCHAR), '') || '{salt}'), 1, 8)"
+        " AS BIGINT)"
         " AS DOUBLE) / 4294967296"
     )
 
@@ -73,3 +74,32 @@ def orders_randomly_split(spark, sf_dir):
     orders = B.table(spark, sf_dir, "orders").select("o_orderkey")
     first, second = split(orders, TRAIN_WEIGHTS, seed=7)
     return first.unionByName(second).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("parts"))
+
+
+def _with_nulls(spark, sf_dir):
+    """Orders; every third key is missing."""
+    orders = B.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    key = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey"))
+    return orders.select(key.alias("key"), "o_custkey")
+
+
+_NULLS = "SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS key, o_custkey FROM orders"
+
+
+@query(
+    "K3 K4",
+    f"""SELECT key, o_custkey, CAST({_position('key', ':n')} >= 0.5 AS INTEGER) AS part
+        FROM ({_NULLS})""",
+)
+def orders_with_null_keys_split(spark, sf_dir):
+    """Rows without a key stay: all in the part of an empty key."""
+    first, second = hash_split(_with_nulls(spark, sf_dir), "key", TRAIN_WEIGHTS, salt=":n")
+    return first.withColumn("part", F.lit(0)).unionByName(second.withColumn("part", F.lit(1)))
+
+
+@query(
+    "K3",
+    f"SELECT key, o_custkey FROM ({_NULLS}) WHERE {_position('key', ':n')} < CAST(0.6 AS DOUBLE)",
+)
+def orders_with_null_keys_sampled(spark, sf_dir):
+    return hash_sample(_with_nulls(spark, sf_dir), "key", 0.6, salt=":n")
