@@ -185,3 +185,16 @@ def test_clean_file_does_not_shuffle(spark, out):
     clean_file(spark, path, f"{out}/clean")
     bodies = with_sanitized(spark.read.schema("body string").json(path), "body", "s")
     assert "Exchange" not in plan_text(bodies)
+
+
+def test_malformed_json_is_an_error_or_kept(spark, out):
+    Path(out).mkdir(parents=True)
+    path = f"{out}/threads.json"
+    Path(path).write_text('{"id": "a", "title": "T", "score": 1}\nnot json\n')
+    for read in (readers.read_threads, readers.read_comments):
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            read(spark, path).collect()
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        clean_file(spark, path, f"{out}/clean")
+    kept = readers.read_json(spark, path, "id string, _corrupt_record string", "PERMISSIVE")
+    assert sorted(map(tuple, kept.collect()), key=str) == [("a", None), (None, "not json")]

@@ -29,7 +29,7 @@ def clean_file(spark: SparkSession, path: str, out: str) -> DataFrame:
     """Clean the ``body`` of every line of a JSON-lines file into a four-column table."""
 
     def build() -> DataFrame:
-        bodies = spark.read.schema("body string").json(path)
+        bodies = readers.read_json(spark, path, "body string")
         cleaned = with_sanitized(bodies, "body", "sanitized")
         return cleaned.select(F.col("sanitized.*"))
 

@@ -9,13 +9,22 @@ from pyspark.sql import types as T
 from tonetide.sources import schemas
 
 
-def read_comments(spark: SparkSession, path: str) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: str, mode: str = "FAILFAST") -> DataFrame:
+    """JSON lines of a declared schema. A malformed line is an error.
+
+    With ``mode="PERMISSIVE"`` it is kept instead: as a row of nulls with its text in
+    ``_corrupt_record``, if the schema has that column.
+    """
+    return spark.read.schema(schema).option("mode", mode).json(path)
+
+
+def read_comments(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """JSON lines, compressed or not; bz2 is splittable, so one large file still fans out."""
-    return spark.read.schema(schemas.COMMENTS).json(path)
+    return read_json(spark, path, schemas.COMMENTS, mode)
 
 
-def read_threads(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.THREADS).json(path)
+def read_threads(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    return read_json(spark, path, schemas.THREADS, mode)
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
