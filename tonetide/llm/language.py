@@ -142,6 +142,8 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Profiles:
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(
         ~held_out(F.col("doc_id"))
     )
+    if usable.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     sample = bounded_sample(usable, "doc_id", F.col("lang"), per_language).select("lang", "text")
     sums = (
         sample.mapInArrow(_sums, "lang string, parts array<long>")
@@ -152,10 +154,8 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Profiles:
         .agg(F.array_sort(F.collect_list(F.struct("pos", "part"))).alias("__parts"))
         .select("lang", F.col("__parts.part").alias("v"))
         .orderBy("lang")
-        .take(MOST_LANGUAGES + 1)
+        .collect()
     )
-    if len(sums) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     prototypes = np.array([r["v"] for r in sums], dtype=np.float64).reshape(-1, DIMENSIONS)
     return Profiles([r["lang"] for r in sums], _unit(prototypes).astype(np.float32))
 
