@@ -119,13 +119,72 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-@query()
+@query(
+    r"""
+    WITH split AS (
+      SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words
+      FROM documents
+    ),
+    windows AS (
+      SELECT doc_id, p, md5(array_to_string(words[p:p + 49], ' ')) AS seen
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS p
+            FROM split WHERE len(words) >= 50)
+    ),
+    firsts AS (SELECT seen, min(doc_id) AS first FROM windows GROUP BY seen),
+    gone AS (
+      SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS place
+      FROM windows JOIN firsts USING (seen) WHERE doc_id > first
+    ),
+    listed AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id)
+    SELECT doc_id, len(words)::BIGINT AS n_words,
+      coalesce(len(places), 0)::BIGINT AS n_removed,
+      sha256(array_to_string(
+        list_filter(words, lambda x, i: NOT coalesce(list_contains(places, i), FALSE)), ' '
+      )) AS kept_sha256
+    FROM split LEFT JOIN listed USING (doc_id)
+    """
+)
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of what is left of every document without passages of earlier documents."""
     return repeats.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query()
+@query(
+    r"""
+    WITH RECURSIVE split AS (
+      SELECT doc_id,
+        regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x20\x09-\x0D]+'
+        ) AS words
+      FROM documents
+    ),
+    shingles AS (
+      SELECT DISTINCT doc_id, array_to_string(words[p:p + 4], ' ') AS shingle
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS p
+            FROM split WHERE len(words) > 0)
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+      FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY ALL
+    ),
+    links AS (
+      SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+      WHERE 100 * common >= 80 * (x.n + y.n - common)
+    ),
+    reached AS (
+      SELECT doc_id AS a, doc_id AS b FROM sizes
+      UNION
+      SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+    ),
+    least AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles,
+      coalesce(component_id, doc_id) AS component_id
+    FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+    """
+)
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of similar texts for every document."""
     return jaccard.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
