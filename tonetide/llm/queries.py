@@ -213,6 +213,33 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs, licenses.fit(docs))
 
 
+_URL_PARTS = r"""
+      rests AS (
+        SELECT page_id, url,
+          CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+        FROM pages
+      ),
+      parts AS (
+        SELECT page_id, url,
+          translate(regexp_extract(rest, '^[^/?#]*'),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+          regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query
+        FROM rests
+      ),
+      tokens AS (
+        SELECT *, list_distinct(list_filter(
+          list_transform(string_split(host, '.'), lambda w: 'host:' || w)
+          || list_transform(
+               string_split_regex(lower(path), '[^\p{L}\p{N}]+'), lambda w: 'path:' || w)
+          || list_transform(
+               string_split(lower(query), '&'), lambda w: 'query:' || split_part(w, '=', 1)),
+          lambda w: NOT regexp_matches(w, '^[a-z]+:[0-9]*$')
+        )) AS tokens
+        FROM parts
+      )
+"""
+
 URL_RULES = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -222,7 +249,71 @@ URL_RULES = (
 )
 
 
-@query()
+@query(
+    rf"""
+    WITH {_URL_PARTS},
+      bad AS (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY doc_id),
+      labelled AS (
+        SELECT row_number() OVER () AS row, tokens, bad FROM tokens
+        JOIN bad ON doc_id = TRY_CAST(
+          nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:[^0-9]|$)', 1), '') AS BIGINT)
+        WHERE url IS NOT NULL AND bad IS NOT NULL
+      ),
+      totals AS (
+        SELECT count(*) AS n, count_if(bad) AS n_bad,
+          ceil(least(1.0::DOUBLE, greatest(0.002::DOUBLE, 10.0::DOUBLE / greatest(count(*), 1)))
+            * count(*)) AS least_rows
+        FROM labelled
+      ),
+      frequent AS (
+        SELECT token FROM (SELECT unnest(tokens) AS token FROM labelled WHERE bad)
+        GROUP BY token HAVING count(*) >= (SELECT least_rows FROM totals)
+      ),
+      kept AS (
+        SELECT row, bad, list(token ORDER BY token) AS items
+        FROM (SELECT row, bad, unnest(tokens) AS token FROM labelled)
+        WHERE token IN (SELECT token FROM frequent) GROUP BY row, bad
+      ),
+      subsets AS (
+        SELECT bad, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS part
+        FROM (SELECT bad, items, unnest(range(1, 1::BIGINT << len(items))) AS mask FROM kept)
+      ),
+      rules AS (
+        SELECT part, count_if(bad)::DOUBLE / count(*) AS confidence
+        FROM subsets GROUP BY part
+        HAVING count_if(bad) >= (SELECT least_rows FROM totals)
+          AND count_if(bad)::DOUBLE / count(*) >= 0.6::DOUBLE
+          AND count_if(bad)::DOUBLE / count(*)
+            / ((SELECT n_bad FROM totals)::DOUBLE / (SELECT n FROM totals)) >= 2.0::DOUBLE
+      ),
+      pruned AS (
+        SELECT * FROM rules r WHERE NOT EXISTS (
+          SELECT 1 FROM rules s WHERE len(s.part) < len(r.part)
+            AND list_has_all(r.part, s.part) AND s.confidence >= r.confidence)
+      ),
+      found AS (
+        SELECT url, max({{'confidence': confidence, 'matched': part}}) AS best
+        FROM (SELECT DISTINCT url, tokens FROM tokens WHERE url IS NOT NULL) u
+        JOIN pruned ON list_has_all(u.tokens, part) GROUP BY url
+      ),
+      listed AS (
+        SELECT verdict, rule, split_part(rule, '/', 1) AS rule_host,
+          substr(rule, instr(rule, '/')) AS rule_path
+        FROM (VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'),
+                     ('allow', 'com/fr/'), ('block', 'com/de/')) t(verdict, rule)
+      ),
+      fitting AS (
+        SELECT host, path, max_by(rule, len(rule)) AS rule, max_by(verdict, len(rule)) AS verdict
+        FROM (SELECT DISTINCT host, path FROM parts) JOIN listed
+          ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        GROUP BY host, path
+      )
+    SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+      coalesce(verdict, CASE WHEN best IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+      array_to_string(best.matched, ' ') AS matched, best.confidence AS confidence
+    FROM parts LEFT JOIN fitting USING (host, path) LEFT JOIN found USING (url)
+    """
+)
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url.
 
@@ -236,7 +327,8 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = F.regexp_extract(urls.path(F.col("url")), r"/([0-9]{1,18})(?:\D|$)", 1)
     numbered = pages.withColumn("__doc", shown.try_cast("long"))
     labelled = numbered.join(labels, F.col("__doc") == F.col("doc_id")).select("url", "bad")
-    return urls.judge(pages, urls.mine(labelled), URL_RULES)
+    judged = urls.judge(pages, urls.mine(labelled), URL_RULES)
+    return judged.withColumn("matched", F.array_join("matched", " "))
 
 
 @query()
