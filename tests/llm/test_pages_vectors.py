@@ -139,3 +139,37 @@ def test_pages_of_a_host_share_a_template(spark):
     want += [(102, "home go 5\nOwn text number 5 of this page\nSame line everywhere")]
     assert got == sorted((i, t, len(t)) for i, t in want)
     assert html.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+def extracted(spark, pages):
+    rows = [(i, "http://a.example/p", p) for i, p in enumerate(pages)]
+    out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    return {r.page_id: r.text for r in out.collect()}
+
+
+def test_classes_name_templates_of_any_share(spark):
+    def first(i):
+        return f"<body><div class='a/b'><p>First line</p></div><div class='x'><p>Own text {i} here</p></div></body>"
+
+    def second(i):
+        return f"<body><div class='y'><p>Own text {i} there</p><div><p>Second line</p></div></div></body>"
+
+    got = extracted(spark, [(first, second)[i % 2](i) for i in range(24)])
+    assert got == {i: f"Own text {i} {('here', 'there')[i % 2]}" for i in range(24)}
+    got = extracted(spark, [first(i) for i in range(9)])
+    assert got == {i: f"Own text {i} here" for i in range(9)}
+    inside = [f"<main><p>Share this</p><p>Own text of page {'abcdef'[i]}</p></main>" for i in range(6)]
+    assert extracted(spark, inside) == {i: f"Own text of page {'abcdef'[i]}" for i in range(6)}
+
+
+def test_copies_are_no_template(spark):
+    def page(text, more=""):
+        return f"<body><main><h1>{text} title</h1><p>{text} body</p>{more}</main></body>"
+
+    table = "<table><tr><td>Cell</td></tr></table>"
+    pages = [page(f"Number {'abcdefgh'[i]}") for i in range(8)] + [page("Copied", table)] * 3
+    got = extracted(spark, pages)
+    assert {got[i] for i in (8, 9, 10)} == {"Copied title\nCopied body\nCell"}
+    long = " ".join(["words"] * 60)
+    near = extracted(spark, [page(f"{i} a", f"<p>{long}</p>") for i in range(4)])
+    assert all(long in t for t in near.values())

@@ -2,13 +2,14 @@
 
 Pages of a host are made from a few templates. A page is a sequence of tokens: its tags, each with
 the path of tags above it, and the texts of its blocks. Tokens that occur equally often in every
-page of the host (equal occurrence vectors) form an equivalence class. A class is valid if enough
-pages share it and each of its tags is nested in a tag of a valid class: these make the template.
-Texts in classes that nearly all pages share belong to the template too. What the template leaves
-open are slots; a slot is named by its path.
-
-Occurrence vectors are never collected. A token's vector is known by the xor of hashes of
-(page, count) over the pages that hold it, which is aggregated in parts: a host with a third of all
+page of the host (equal occurrence vectors) form an equivalence class. A class is valid if it holds
+tags and enough pages share it: these make the template. A text whose class is valid belongs to the
+template, whatever the share of pages, unless only copies of a page or two share it: their own texts
+and tags also occur together. Texts that nearly all pages share belong to the template too. What the
+template leaves open are slots; a slot is named by its path.
+
+Occurrence vectors are never collected. A token's vector is known by two sums of hashes of
+(page, count) over the pages that hold it, which are aggregated in parts: a host with a third of all
 pages costs no task more than its share. Slots are judged per host: those nested in menus, headers,
 footers, sidebars, notices, adverts, forms and comments are left out by their tags' names and
 classes, and of the others those that hold mostly links.
@@ -63,6 +64,8 @@ SCOPE = {"ul", "ol", "dl", "table", "select", "div", "article", "section", "body
 SUPPORT = 0.05
 CONSTANT = 0.9
 CONSTANT_PAGES = 10
+DIFFERENT = 3  # contents that must differ among the pages of a class before its texts are template
+NEAR = 0.8  # share of the main text from which on pages that have it in common are near copies
 LINKS = 0.6
 
 _TAG = re.compile(
@@ -137,7 +140,7 @@ def parse(html: str) -> tuple[dict[str, list], list[tuple[str, bool, bool, str,
         if "=" in attributes or "hidden" in attributes:
             found = _NAMED.findall(attributes)
             if found:
-                names = " ".join(sorted(a or b or c for _, a, b, c in found)).lower()
+                names = " ".join(sorted(a or b or c for _, a, b, c in found)).lower().replace("/", "-")
                 words = set(_LETTERS.findall(names))
                 main = main or not MAIN_NAMES.isdisjoint(words)
                 out = out or (not LEFT_OUT_NAMES.isdisjoint(words) and name not in ("html", "body"))
@@ -179,7 +182,17 @@ def _hash(texts: list[str]) -> np.ndarray:
     return W.run_hashes(flat, ends - sizes, ends, np.uint64(0xD6E8FEB86659FD93))
 
 
-_TOKENS = "host string, text boolean, token string, parent string, out boolean, main boolean, vector long, pages long, chars long, linked long"
+_TOKENS = (
+    "host string, text boolean, token string, parent string, out boolean, main boolean, low long, "
+    "high long, pages long, chars long, linked long, contents long, room long"
+)
+
+
+def _content(blocks: list[tuple]) -> str:
+    """What tells a page from others of its template: its main texts, or those that are no links."""
+    kept = [b for b in blocks if not b[1]]
+    main = [b[3] for b in kept if b[2]]
+    return "\n".join(main or [b[3] for b in kept if b[4] < len(b[3]) * LINKS])
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +201,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, mine = [], [], []
         chars: dict[tuple, list[int]] = {}
         flags: dict[str, tuple[bool, bool]] = {}
+        contents, room, main_texts = [], [], {}
         hosts = batch.column("host").to_pylist()
         for i, page in enumerate(W.valid(batch.column("html")).to_pylist()):
             tags, blocks = parse(page or "")
@@ -199,6 +213,12 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sums[0] += len(text)
                 sums[1] += min(linked, len(text))
                 texts[text] = texts.get(text, 0) + 1
+            contents.append(_content(blocks))
+            room.append(sum(len(b[3]) for b in blocks if b[2] and not b[1]))
+            for _, out, main, text, _ in blocks:
+                if main and not out:
+                    key = (hosts[i], True, text)
+                    main_texts[key] = main_texts.get(key, 0) + len(text)
             tags[""] = [1, False, False]
             own = [(hosts[i], False, t) for t in tags] + [(hosts[i], True, t) for t in texts]
             keys += own
@@ -208,18 +228,30 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         page = batch.column("page").to_numpy().view(np.uint64)
         seen = W.mixed(page[np.array(mine)] ^ W.mixed(np.array(counts, dtype=np.uint64)))
+        # A bit for each content: the bits of a token are at most as many as its contents.
+        bits = (np.int64(1) << (_hash(contents) % np.uint64(63)).astype(np.int64)).tolist()
         vectors: dict[tuple, list[int]] = {}
-        for key, value in zip(keys, seen.view(np.int64).tolist()):
+        halves = seen & np.uint64(0xFFFFFFFF), seen >> np.uint64(32)
+        for key, i, low, high in zip(keys, mine, *(x.tolist() for x in halves)):
             entry = vectors.get(key)
             if entry is None:
-                vectors[key] = [value, 1]
+                vectors[key] = [low, high, 1, bits[i], room[i]]
             else:
-                entry[0] ^= value
-                entry[1] += 1
+                entry[0] += low
+                entry[1] += high
+                entry[2] += 1
+                entry[3] |= bits[i]
+                entry[4] += room[i]
         rows = list(vectors)
         hashed = _hash([t if is_text else "" for _, is_text, t in rows]).view(np.int64).tolist()
-        stats = [(0, 0) if is_text else chars.get((h, t), (0, 0)) for h, is_text, t in rows]
-        out_main = [(False, False) if is_text else flags.get(t, (False, False)) for _, is_text, t in rows]
+        stats = [
+            (main_texts.get((h, True, t), 0), 0) if is_text else chars.get((h, t), (0, 0))
+            for h, is_text, t in rows
+        ]
+        out_main = [
+            (False, (h, True, t) in main_texts) if is_text else flags.get(t, (False, False))
+            for h, is_text, t in rows
+        ]
         yield pa.RecordBatch.from_pydict(
             {
                 "host": pa.array([h for h, _, _ in rows], pa.string()),
@@ -228,10 +260,13 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "parent": ["" if is_text else t.rpartition("/")[0] for _, is_text, t in rows],
                 "out": [o for o, _ in out_main],
                 "main": [m for _, m in out_main],
-                "vector": [v[0] for v in vectors.values()],
-                "pages": [v[1] for v in vectors.values()],
+                "low": [v[0] for v in vectors.values()],
+                "high": [v[1] for v in vectors.values()],
+                "pages": [v[2] for v in vectors.values()],
                 "chars": [s[0] for s in stats],
                 "linked": [s[1] for s in stats],
+                "contents": [v[3] for v in vectors.values()],
+                "room": [v[4] for v in vectors.values()],
             }
         )
 
@@ -241,8 +276,11 @@ def templates(pages: DataFrame) -> DataFrame:
 
     These are hashes of the template's texts, its slots of links and its outermost main tags.
     ``pages`` has ``host``, ``page`` (a hash) and ``html``. The lists are bounded by shares of the
-    host's pages: at most (tokens of a page / share) entries each. A text is a constant if at least
-    ``CONSTANT`` of ``CONSTANT_PAGES`` or more pages share it.
+    host's pages: at most (tokens of a page / share) entries each.
+
+    A text is a constant if its class holds template tags and ``DIFFERENT`` contents, and in main
+    slots less than ``NEAR`` of them (else its pages are copies); or if at least ``CONSTANT`` of
+    ``CONSTANT_PAGES`` or more pages share it.
     """
     tokens = (
         pages.mapInArrow(_tokens, _TOKENS)
@@ -251,10 +289,13 @@ def templates(pages: DataFrame) -> DataFrame:
             F.max("parent").alias("parent"),
             F.max("out").alias("out"),
             F.max("main").alias("main"),
-            F.bit_xor("vector").alias("vector"),
+            F.sum("low").alias("low"),
+            F.sum("high").alias("high"),
             F.sum("pages").alias("pages"),
             F.sum("chars").alias("chars"),
             F.sum("linked").alias("linked"),
+            F.bit_or("contents").alias("contents"),
+            F.sum("room").alias("room"),
         )
     )
     every = stored(tokens)
@@ -264,25 +305,30 @@ def templates(pages: DataFrame) -> DataFrame:
     common = every.join(sizes, F.col("host") == F.col("__host")).where(
         F.col("pages") >= F.greatest(F.lit(2), F.col("all") * SUPPORT)
     )
-    tags = stored(common.where(~F.col("text")))
-    above = tags.select(
+    # Tokens of equal vectors are one class, of at most the tokens of a page.
+    mine = Window.partitionBy("host", "low", "high", "pages")
+    common = stored(
+        common.withColumn("tagged", F.bool_or(~F.col("text")).over(mine)).withColumn(
+            "shared", F.sum(F.when(F.col("text"), F.col("chars")).otherwise(0)).over(mine)
+        )
+    )
+    slots = common.where(~F.col("text"))
+    above = slots.select(
         F.col("host").alias("__up"), F.col("token").alias("__path"), F.col("main").alias("main_above")
     )
     up = (F.col("host") == F.col("__up")) & (F.col("parent") == F.col("__path"))
-    nested = tags.join(above, up, "left")
-    # Equal vectors are one class; it is valid if all its tags hang below common tags.
-    hangs = (F.col("token") == "") | F.col("__path").isNotNull()
-    valid = F.bool_and(hangs).over(Window.partitionBy("host", "vector"))
-    slots = stored(nested.withColumn("valid", valid).where("valid"))
-    roots = slots.where(F.col("main") & ~F.coalesce("main_above", F.lit(False)))
+    nested = slots.join(above, up, "left")
+    roots = nested.where(F.col("main") & ~F.coalesce("main_above", F.lit(False)))
     closed = slots.where(
         ~F.col("out") & (F.col("chars") > 0) & (F.col("linked") >= F.col("chars") * LINKS)
     )
-    constant = common.where(
-        F.col("text")
-        & (F.col("all") >= CONSTANT_PAGES)
-        & (F.col("pages") >= F.col("all") * CONSTANT)
+    template = (
+        F.col("tagged")
+        & (F.bit_count("contents") >= DIFFERENT)
+        & (~F.col("main") | (F.col("shared") < F.col("room") * NEAR))
     )
+    nearly_all = (F.col("all") >= CONSTANT_PAGES) & (F.col("pages") >= F.col("all") * CONSTANT)
+    constant = common.where(F.col("text") & (template | nearly_all))
     found = (
         constant.select("host", F.lit("constants").alias("kind"), "token")
         .unionByName(closed.select("host", F.lit("closed").alias("kind"), "token"))
@@ -345,8 +391,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     A null or empty page has an empty text. Rows with a null url, or one without host, share the
     empty host. A host of few pages has no template to tell constants by, and every slot is judged
-    by its tags. Repeated rows are extracted alike; their equal terms cancel in pairs in vectors,
-    which changes classes but no count of pages.
+    by its tags. Repeated rows are extracted alike and count as pages of equal content.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
