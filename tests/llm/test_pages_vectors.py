@@ -173,3 +173,22 @@ def test_copies_are_no_template(spark):
     long = " ".join(["words"] * 60)
     near = extracted(spark, [page(f"{i} a", f"<p>{long}</p>") for i in range(4)])
     assert all(long in t for t in near.values())
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='content has-sidebar'><p>story</p></div>", "story"),
+        ("<main class='with-comments'><p>story</p></main><p>other</p>", "story"),
+        ("<article class='no-share'><p>story</p></article>", "story"),
+        ("<div class='page sidebar'><main><p>long story</p><div class=ad>ad</div></main></div><p>x</p>", "long story"),
+        ("<article class='widget'><p>story</p></article>", "story"),
+        ("<div class='widget'><p>story</p></div><nav>menu</nav>", "story"),
+        ("<article>a</article><article class='ad'>advert of more words</article>", "a"),
+        ("<p>story of a day</p><div id=comments><article>c</article></div>", "story of a day"),
+        ("<main></main><div class='comments'>c</div>", ""),
+        ("<div class='site-header'>h</div><p>story</p><div class='ad-slot-1'>a</div>", "story"),
+    ],
+)
+def test_names_of_wrappers_leave_out_no_main_text(page, text):
+    assert html.main_text(page) == text

@@ -12,7 +12,8 @@ Occurrence vectors are never collected. A token's vector is known by two sums of
 (page, count) over the pages that hold it, which are aggregated in parts: a host with a third of all
 pages costs no task more than its share. Slots are judged per host: those nested in menus, headers,
 footers, sidebars, notices, adverts, forms and comments are left out by their tags' names and
-classes, and of the others those that hold mostly links.
+classes, and of the others those that hold mostly links. A class name alone does not leave out what
+is or holds the main slot of a page.
 """
 
 from __future__ import annotations
@@ -51,6 +52,12 @@ LEFT_OUT_NAMES = set(
     "signup login search share sharing social related recommended comment comments commentlist "
     "reply replies respond disqus discussion skip form".split()
 )
+# Words that may stand beside one of these in a class name: "site-header", but not "has-header".
+PLACES = set(
+    "site page global main primary secondary top bottom left right inner outer upper lower mini box "
+    "block bar container wrapper wrap area section group list item items links link slot unit post "
+    "entry article blog text widget".split()
+)
 MAIN = {"article", "main"}
 MAIN_NAMES = {"article", "articlebody", "main"}
 CLOSES = {  # an opening tag that ends an open one, unless a list or table lies between
@@ -78,22 +85,40 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidd
 _LETTERS = re.compile(r"[a-z]+")
 
 
+# Why a block is left out, from weak to strong: by a name alone, by one below a main tag, by a tag.
+KEPT, BY_NAME, WITHIN, BY_TAG = range(4)
+
+
+def _left_out(names: str, ignored: frozenset[str] = frozenset()) -> bool:
+    """True if a whole class name or id means a slot that is left out.
+
+    All its parts must be such names or places: "has-sidebar" and "no-share" are other things.
+    """
+    for name in names.split():
+        parts = set(_LETTERS.findall(name))
+        found = (parts & LEFT_OUT_NAMES) - ignored
+        if found and parts <= LEFT_OUT_NAMES | PLACES:
+            return True
+    return False
+
+
 class _Open:
-    """An open element: its name, path, and whether its text is left out or main."""
+    """An open element: its name, path, why its text is left out, and whether it is main."""
 
     __slots__ = ("name", "path", "out", "main")
 
-    def __init__(self, name: str, path: str, out: bool, main: bool):
+    def __init__(self, name: str, path: str, out: int, main: bool):
         self.name, self.path, self.out, self.main = name, path, out, main
 
 
-def parse(html: str) -> tuple[dict[str, list], list[tuple[str, bool, bool, str, int]]]:
+def parse(html: str) -> tuple[dict[str, list], list[tuple[str, int, bool, str, int]]]:
     """Tags by path, each as [count, left out, main], and blocks in order.
 
-    A block is (path, left out, main, text, characters in links). Character references are decoded
+    A block is (path, left out, main, text, characters in links). Left out is one of ``KEPT``,
+    ``BY_NAME``, ``WITHIN`` and ``BY_TAG``; what is main may be left out by name. Character references are decoded
     and white space is one space each. Broken nesting is mended as browsers do in the common cases.
     """
-    top = _Open("", "", False, False)
+    top = _Open("", "", KEPT, False)
     stack, tags, blocks = [top], {}, []
     held: list[str] = []
     linked, link = 0, False
@@ -135,7 +160,7 @@ def parse(html: str) -> tuple[dict[str, list], list[tuple[str, bool, bool, str,
             continue
         attributes = match[4] or match[7] or ""
         names = ""
-        out = name in LEFT_OUT
+        out = BY_TAG if name in LEFT_OUT else KEPT
         main = name in MAIN
         if "=" in attributes or "hidden" in attributes:
             found = _NAMED.findall(attributes)
@@ -143,8 +168,10 @@ def parse(html: str) -> tuple[dict[str, list], list[tuple[str, bool, bool, str,
                 names = " ".join(sorted(a or b or c for _, a, b, c in found)).lower().replace("/", "-")
                 words = set(_LETTERS.findall(names))
                 main = main or not MAIN_NAMES.isdisjoint(words)
-                out = out or (not LEFT_OUT_NAMES.isdisjoint(words) and name not in ("html", "body"))
-            out = out or bool(_HIDDEN.search(attributes))
+                if name not in ("html", "body") and _left_out(names):
+                    out = max(out, BY_NAME)
+            if _HIDDEN.search(attributes):
+                out = BY_TAG
         if name in BLOCK:
             flush()
             ended = CLOSES.get(name)
@@ -159,10 +186,13 @@ def parse(html: str) -> tuple[dict[str, list], list[tuple[str, bool, bool, str,
             continue
         at = stack[-1]
         if name == "header" and at.main:  # of an article: it holds its title
-            out = not LEFT_OUT_NAMES.isdisjoint(set(_LETTERS.findall(names)) - {"header"})
+            out = BY_NAME if _left_out(names, frozenset({"header"})) else KEPT
         label = name + (f".{re.sub('[0-9]+', '', names)}" if names else "")
         path = f"{at.path}/{label}"
-        out, main = at.out or out, at.main or (main and not out)
+        if out == BY_NAME and at.main:
+            out = WITHIN
+        out = max(at.out, out)
+        main = at.main or (main and out < BY_TAG)
         tags.setdefault(path, [0, out, main])[0] += 1
         if name not in VOID:
             if name not in BLOCK:
@@ -207,7 +237,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tags, blocks = parse(page or "")
             texts: dict[str, int] = {}
             for path, (_, out, main) in tags.items():
-                flags[path] = (out, main)
+                flags[path] = (bool(out), main and not out)
             for path, _, _, text, linked in blocks:
                 sums = chars.setdefault((hosts[i], path), [0, 0])
                 sums[0] += len(text)
@@ -307,8 +337,9 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     # Tokens of equal vectors are one class, of at most the tokens of a page.
     mine = Window.partitionBy("host", "low", "high", "pages")
+    dealt = common.repartition("host", "low", "high", "pages")  # not by host alone: one may be hot
     common = stored(
-        common.withColumn("tagged", F.bool_or(~F.col("text")).over(mine)).withColumn(
+        dealt.withColumn("tagged", F.bool_or(~F.col("text")).over(mine)).withColumn(
             "shared", F.sum(F.when(F.col("text"), F.col("chars")).otherwise(0)).over(mine)
         )
     )
@@ -348,14 +379,24 @@ def main_text(
     """Blocks of the main slots of one page, joined by line feeds.
 
     Blocks below the template's main tags, or if the page has none, below its own; else all that
-    are not left out, without slots of links. The template's texts go, unless nothing else is left.
+    are not left out, without slots of links. If these hold less than the main tags left out by a
+    class name alone, it was a wrapper's name, and the main tags count. If nothing is left and the
+    page has no main tag, what was left out by name is kept. The template's texts go, unless nothing
+    else is left.
     """
-    _, blocks = parse(html)
+    tags, blocks = parse(html)
     kept = [b for b in blocks if not b[1]]
     below = tuple(f"{r}/" for r in roots)
     inner = [b for b in kept if b[0] in roots or b[0].startswith(below)] if below else []
     inner = inner or [b for b in kept if b[2]]
     kept = inner or [b for b in kept if b[0] not in closed] or kept
+    if not inner:
+        named = [b for b in blocks if b[1] == BY_NAME]
+        wrapped = [b for b in named if b[2]]
+        if sum(len(b[3]) for b in wrapped) > sum(len(b[3]) for b in kept):
+            kept = wrapped
+        elif not kept and not any(main for _, _, main in tags.values()):
+            kept = [b for b in named if b[4] < len(b[3]) * LINKS]
     texts = [b[3] for b in kept]
     if constants and texts:
         known = _hash(texts).view(np.int64).tolist()
