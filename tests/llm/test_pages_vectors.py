@@ -36,6 +36,20 @@ def test_topk_matches_brute_force(spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_topk_of_ids_with_different_vectors(spark):
+    random = np.random.default_rng(5)
+    vectors = [(0, [1.0] * 4), (7, [100.0, 0, 0, 0]), (7, [0, 100.0, 0, 0]), (8, [90.0, 60.0, 0, 0])]
+    vectors = [(i, [float(x) for x in v]) for i, v in vectors]
+    vectors += [(i % 6 + 1, [float(x) for x in 50 * np.eye(4)[i % 4] + random.integers(0, 9, 4)]) for i in range(60)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+    for k in (1, 5):
+        scored = sorted((-int(sum(v)) * 256 * 256, i) for i, v in vectors if i != 0)[:k]
+        got = topk.search(df, F.col("vec_id") == 0, k=k).collect()
+        assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [
+            (n + 1, i, -s) for n, (s, i) in enumerate(scored)
+        ]
+
+
 def test_topk_in_blocks_of_queries(spark, monkeypatch):
     sf = "/root/testdata/sf0.001/embeddings.parquet"
     vectors = spark.read.parquet(sf)

@@ -1,7 +1,7 @@
 """Exact top-k search by inner product with a three-phase uniform threshold.
 
 The components of a vector are cut into lists; a list holds every vector's partial score. Phase 1
-gathers the best entries of each list and each list's least score. Measured from these least scores,
+gathers the best entries of each list, by row, and each list's least score. Measured from these least scores,
 partial sums are lower bounds of whole scores; the k-th best of them, divided by the number of
 lists, is a cutoff that a vector among the k best must pass in at least one list. Phase 2 broadcasts
 the cutoffs and collects entries that pass, without those whose upper bound (own scores, and the
@@ -41,16 +41,16 @@ def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
     )
 
 
-def _matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and vectors of a batch, vectors of each length apart."""
-    ids = batch.column("vec_id").to_numpy()
+def _matrices(batch: pa.RecordBatch, key: str = "vec_id") -> Iterator[tuple[np.ndarray, ...]]:
+    """Ids, vectors and column ``key`` of a batch, vectors of each length apart."""
+    ids, keys = batch.column("vec_id").to_numpy(), batch.column(key).to_numpy()
     column = batch.column("v")
     flat = column.flatten().to_numpy(zero_copy_only=False)
     size = np.diff(column.offsets.to_numpy()).astype(np.int64)
     start = np.concatenate(([0], np.cumsum(size)))
     for n in np.unique(size):
         rows = np.flatnonzero(size == n)
-        yield ids[rows], flat[start[rows][:, None] + np.arange(n)]
+        yield ids[rows], flat[start[rows][:, None] + np.arange(n)], keys[rows]
 
 
 def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ def _lists(n: int) -> list[slice]:
 
 
 class _Best:
-    """The k best (score, then smaller id) of each of n queries, over blocks of entries."""
+    """The k best (score, then smaller id or row) of each of n queries, over blocks of entries."""
 
     def __init__(self, k: int):
         self.k = k
@@ -103,7 +103,7 @@ def _gather(ids: np.ndarray, queries: dict[int, tuple[np.ndarray, np.ndarray]],
         best = {part: _Best(k) for part in range(LISTS)}
         least = np.full((LISTS, len(ids)), -_FAR)
         for batch in batches:
-            for vec_ids, v in _matrices(batch):
+            for vec_ids, v, rows in _matrices(batch, "row"):
                 if v.shape[1] not in queries:
                     continue
                 at, q = queries[v.shape[1]]
@@ -119,13 +119,13 @@ def _gather(ids: np.ndarray, queries: dict[int, tuple[np.ndarray, np.ndarray]],
                         row, col = _top(s, k)
                         keep = s[row, col] > _FAR
                         row, col = row[keep], col[keep]
-                        best[part].add(at[row], vec_ids[i + col], s[row, col].astype(np.int64))
+                        best[part].add(at[row], rows[i + col], s[row, col].astype(np.int64))
         for part, b in best.items():
             yield pa.RecordBatch.from_pydict(
                 {
                     "q": b.q.astype(np.int32),
                     "part": np.full(len(b.q), part, np.int32),
-                    "vec_id": b.id,
+                    "row": b.id,
                     "s": b.s,
                     "least": least[part, b.q],
                 }
@@ -142,7 +142,7 @@ def _collect(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(k)
         for batch in batches:
-            for vec_ids, v in _matrices(batch):
+            for vec_ids, v, _ in _matrices(batch):
                 if v.shape[1] not in queries:
                     continue
                 at, q = queries[v.shape[1]]
@@ -196,8 +196,9 @@ def search(vectors: DataFrame, query: Column, k: int = 5, scale: int = 256) -> D
         }
         if not rows:
             continue
-        gathered = table.mapInArrow(
-            _gather(ids, queries, k), "q int, part int, vec_id long, s long, least long"
+        # Ids may repeat, so bounds are summed by row.
+        gathered = table.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+            _gather(ids, queries, k), "q int, part int, row long, s long, least long"
         )
         low, need = _cutoffs(stored(gathered), len(ids), k)
         cutoff = low + (need - low.sum(axis=0))[None, :] / LISTS
@@ -224,14 +225,12 @@ def _cutoffs(gathered: DataFrame, n: int, k: int) -> tuple[np.ndarray, np.ndarra
     """Least score by list and query, and by query a score that k candidates reach for sure."""
     mine = Window.partitionBy("q", "part")
     lists = gathered.withColumn("least", F.min("least").over(mine)).withColumn(
-        "__place", F.row_number().over(mine.orderBy(F.desc("s"), "vec_id"))
+        "__place", F.row_number().over(mine.orderBy(F.desc("s"), "row"))
     )
     above = (
         lists.where(F.col("__place") <= k)
-        .groupBy("q", "part", "vec_id")
-        .agg(F.max(F.col("s") - F.col("least")).alias("above"))
-        .groupBy("q", "vec_id")
-        .agg(F.sum("above").alias("above"))
+        .groupBy("q", "row")
+        .agg(F.sum(F.col("s") - F.col("least")).alias("above"))
     )
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("above")))
     kth = above.withColumn("__place", place).where(F.col("__place") == k)
