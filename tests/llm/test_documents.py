@@ -79,6 +79,25 @@ def test_extended_prefixes_find_the_same(small):
     assert covered(few) == covered(many) and covered(few)
 
 
+def test_long_runs_count_by_their_suffixes(spark, monkeypatch):
+    line = "a line that comes again and again in the text\n"
+    texts = [(i, line * 300) for i in range(4)] + [(9, sentence(200, 8)), (10, sentence(200, 8))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    counted = docs.mapInArrow(repeats._paths(50), "h long, n long").groupBy("h").sum("n").collect()
+    assert sum(r[1] for r in counted) == sum(len(t.split()) - 49 for _, t in texts)
+    assert max(r[1] for r in counted) > 4 * 2900
+    want = plain.repeats_digest(texts, 50)
+    assert rows(repeats.digest(docs)) == want
+    monkeypatch.setattr(repeats, "GROUP_ROWS", 1000)
+    monkeypatch.setattr(repeats, "RUN_SUFFIXES", 700)
+    monkeypatch.setattr(repeats, "SLICE_SUFFIXES", 900)
+    hot = repeats.repeated_spans(docs, 50, group_rows=1000)
+    spans = [(r.doc, r.since, r.until) for r in hot.collect()]
+    assert {(d, i) for d, a, b in spans for i in range(a, b)} == {
+        (d, i) for d in (1, 2, 3) for i in range(3000)
+    } | {(10, i) for i in range(200)}
+
+
 def test_texts_without_repeats_stay_as_they_are(awkward):
     out = repeats.remove_repeats(awkward, 50)
     assert out.columns == awkward.columns

@@ -1,15 +1,15 @@
-"""Substring deduplication with prefix-partitioned suffix trees.
+"""Substring deduplication by depth-limited suffixes, partitioned by a prefix path.
 
 A word is removed if it lies in a window of ``window`` words whose sequence also starts in a
 document with a smaller id.
 
-Every suffix of at least ``window`` words enters a tree that is cut at that depth. The tree is
-never built whole: suffixes are split by a prefix path, each group makes one subtree. A suffix's
-path starts with the least hash of the runs of ``PREFIX`` words in its first ``window`` words, so
-that neighbouring suffixes mostly share their group and travel in one row, and equal windows always
-meet. A prefix with more suffixes than a task should hold is extended to the full depth, where only
-the least id of each node is needed. In a subtree, the nodes at full depth with several documents
-are the repeats; runs of neighbouring ones are the maximal repeats that are removed.
+This stands for suffix trees that are cut at ``window`` words, of which only the nodes at full depth
+are needed: no inner node is built, and a node is named by a hash of its words. Suffixes are split
+by a path: the least hash of the runs of ``PREFIX`` words anywhere in their first ``window`` words,
+so that neighbouring suffixes mostly share their group and travel in one row, and equal windows
+always meet. A path with more suffixes than a task should hold is extended to the full depth, where
+only the least id of each node is needed. In a group, suffixes are sorted by node; nodes with several
+documents are the repeats; runs of neighbouring ones are the maximal repeats that are removed.
 """
 
 from __future__ import annotations
@@ -29,10 +29,12 @@ from tonetide.llm.shared import stored
 
 WINDOW = 50
 PREFIX = 8
-# Prefixes with more rows than this are extended, or than a hundred-thousandth of all rows if that
-# is more: so at most 100,000 are.
+# Paths with more suffixes than this are extended; if they are more than ``MOST_EXTENDED``, only those
+# with more than that part of all their suffixes.
 GROUP_ROWS = 100_000
 MOST_EXTENDED = 100_000
+RUN_SUFFIXES = 20_000  # a longer run is cut into rows of so many
+SLICE_SUFFIXES = 1 << 18  # that are unpacked at once
 
 _SUFFIXES = "h long, doc long, key long, start int, nodes binary"
 
@@ -65,6 +67,9 @@ def _runs(column: pa.Array, window: int):
     path = _sliding_least(grams, window - prefix + 1)[at]
     row = np.repeat(np.arange(len(column)), np.maximum(text.counts - window + 1, 0))
     new = np.flatnonzero(np.concatenate(([True], (path[1:] != path[:-1]) | (row[1:] != row[:-1]))))
+    length = np.diff(np.append(new, len(at)))
+    cuts = -(-length // RUN_SUFFIXES)
+    new = np.repeat(new, cuts) + W.ranges(np.zeros(len(cuts), np.int64), cuts) * RUN_SUFFIXES
     return path[new], row[new], at[new] - text.first[row[new]], np.append(new, len(at)), nodes
 
 
@@ -92,11 +97,15 @@ def _suffixes(window: int):
 
 
 def _paths(window: int):
+    """The number of suffixes of each path."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.chunks(batches):
             runs = _runs(batch.column("text"), window)
             if runs is not None:
-                path, count = np.unique(runs[0].view(np.int64), return_counts=True)
+                path, which = np.unique(runs[0].view(np.int64), return_inverse=True)
+                count = np.zeros(len(path), np.int64)
+                np.add.at(count, which, np.diff(runs[3]))
                 yield pa.RecordBatch.from_pydict({"h": path, "n": count})
 
     return run
@@ -160,24 +169,48 @@ def _subtrees(window: int):
     return run
 
 
-def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per suffix."""
-    for batch in batches:
-        if batch.num_rows:
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``SLICE_SUFFIXES`` suffixes, or one row."""
+    ends = np.cumsum(W.unpacked_counts(batch.column("nodes"), np.uint16) // 3)
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + SLICE_SUFFIXES, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _single(window: int):
+    """Nodes at full depth. The ranges of a node in a text are one row if they touch, as they do in
+    a text of repeated lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in _slices(whole)):
             table = pa.Table.from_batches([batch])
             nodes, counts = _nodes(table)
             row = np.repeat(np.arange(len(counts)), counts)
             place = W.ranges(table.column("start").to_numpy().astype(np.int64), counts)
+            h, doc, key = (table.column(c).to_numpy()[row] for c in ("h", "doc", "key"))
+            order = np.lexsort((place, nodes, h, key, doc))
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = np.diff(place[order]) > window
+            for column in (nodes, h, key, doc):
+                new[1:] |= column[order][1:] != column[order][:-1]
+            head = np.flatnonzero(new)
+            first, last = order[head], order[np.append(head[1:], len(order)) - 1]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "h": table.column("h").to_numpy()[row],
-                    "node": nodes.view(np.int64),
-                    "doc": table.column("doc").to_numpy()[row],
-                    "key": table.column("key").to_numpy()[row],
-                    "start": place.astype(np.int32),
+                    "h": h[first],
+                    "node": nodes.view(np.int64)[first],
+                    "doc": doc[first],
+                    "key": key[first],
+                    "since": place[first].astype(np.int32),
+                    "until": (place[last] + window).astype(np.int32),
                 }
             )
 
+    return run
+
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``doc key since until``: word ranges to remove; ``key`` tells texts of one id apart."""
@@ -190,7 +223,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group_rows: int = GROU
     if extended.isEmpty():
         split, hot = texts.mapInArrow(_suffixes(window), _SUFFIXES), None
     else:
-        limit = max(group_rows, (sizes.agg(F.sum("n")).first()[0] or 0) // MOST_EXTENDED)
+        number, total = extended.agg(F.count("*"), F.sum("n")).first()
+        limit = group_rows if number <= MOST_EXTENDED else max(group_rows, total // MOST_EXTENDED)
         hot = F.broadcast(stored(extended.where(F.col("n") > limit).select("h")))
         split = texts.mapInArrow(_suffixes(window), _SUFFIXES).join(hot, "h", "left_anti")
     schema = "doc long, key long, since int, until int"
@@ -200,18 +234,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group_rows: int = GROU
     deep = (
         texts.mapInArrow(_suffixes(window), _SUFFIXES)
         .join(hot, "h", "left_semi")
-        .mapInArrow(_single, "h long, node long, doc long, key long, start int")
+        .mapInArrow(_single(window), "h long, node long, doc long, key long, since int, until int")
     )
     least = deep.groupBy("h", "node").agg(F.min("doc").alias("least"))
     later = deep.join(least, ["h", "node"]).where(F.col("doc") > F.col("least"))
-    return spans.unionByName(
-        later.select(
-            "doc",
-            "key",
-            F.col("start").alias("since"),
-            (F.col("start") + window).cast("int").alias("until"),
-        )
-    )
+    return spans.unionByName(later.select("doc", "key", "since", "until"))
 
 
 def _kept(batch: pa.RecordBatch) -> tuple[W.Words, np.ndarray]:
