@@ -106,6 +106,19 @@ def test_mined_rules_match_brute_force(spark):
     assert urls.mine(labelled.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("good, bad", [(9, 11), (4, 16), (0, 20)])
+def test_rules_are_mined_from_mostly_bad_labels(spark, good, bad):
+    def rows(host, n, is_bad):
+        return [(f"http://{host}.net/x", is_bad)] * (10 * n)
+
+    labelled = rows("fine", good, False) + rows("worst", bad - 3, True) + rows("mixed", 3, True)
+    labelled += rows("mixed", good // 3, False)
+    mined = urls.mine(spark.createDataFrame(labelled, "url string, bad boolean"))
+    blocked = {t for r in mined.collect() for t in r.tokens}
+    assert "host:worst" in blocked and "host:fine" not in blocked
+    assert not good or blocked == {"host:worst"}
+
+
 def test_longer_rules_need_more_confidence(spark):
     rows = [("http://x.net/a/b", True)] * 40 + [("http://x.net/a/c", False)] * 30 + [("http://y.net/b", False)] * 30
     mined = urls.mine(spark.createDataFrame(rows, "url string, bad boolean"), min_lift=1.2)

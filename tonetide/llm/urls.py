@@ -68,18 +68,22 @@ def mine(
 ) -> DataFrame:
     """Rules from ``url`` and boolean ``bad``: ``tokens confidence lift support anchor``.
 
-    Rows with a null url or label are left out. There are at most (tokens in a url / min_support)
+    Rows with a null url or label are left out. If more than one in (2 ``min_lift`` - 1) labels are
+    bad, a lift of ``min_lift`` is hard or impossible to reach (it is at most 1 / bad share), and the
+    least confidence is the middle between the bad share and 1 instead. There are at most (tokens in a url / min_support)
     frequent tokens, whatever the number of urls. Without a labelled url there are no rules.
     """
     labelled = labelled.where(F.col("url").isNotNull() & F.col("bad").isNotNull())
     label = F.when(F.col("bad"), _BAD).otherwise(_GOOD)
     items = stored(labelled.select(F.concat(tokens(F.col("url")), F.array(label)).alias("items")))
-    support = min(1.0, max(min_support, MIN_COUNT / max(1, items.count())))
+    total, bad = items.agg(F.count("*"), F.count_if(F.array_contains("items", _BAD))).first()
+    support = min(1.0, max(min_support, MIN_COUNT / max(1, total)))
+    lift = min(min_lift, (1 + total / bad) / 2) if bad else min_lift
     growth = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence)
     model = growth.fit(items)
     rules = stored(
         model.associationRules.where(
-            (F.col("consequent") == F.array(F.lit(_BAD))) & (F.col("lift") >= min_lift)
+            (F.col("consequent") == F.array(F.lit(_BAD))) & (F.col("lift") >= lift)
         ).select(F.array_sort("antecedent").alias("tokens"), "confidence", "lift", "support")
     )
     counts = model.freqItemsets.where(F.size("items") == 1).select(
