@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonetide.llm import contamination, html, jaccard, language, licenses, mixing, repeats, topk
-from tonetide.llm import toxicity, urls
+from tonetide.llm import alignment, contamination, html, jaccard, language, licenses, mixing
+from tonetide.llm import negatives, repeats, sequences, topk, toxicity, urls
 from tonetide.llm.shared import held_out
+from tonetide.sources.stages import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -335,3 +337,58 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query(
+    """
+    WITH ints AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+      SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+        list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i]))::BIGINT AS score
+      FROM ints a JOIN ints c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+      WHERE a.vec_id % 100 = 0
+    ),
+    positives AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+      FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+      (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER
+        AS rank,
+      vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+    """
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, some labels shifted first."""
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings")
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0, label=shifted)
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in every document."""
+    return alignment.align(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+@query()
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written as equal-length sequences and read from those files."""
+    folder = f"{shared_dir(spark)}/ids"
+    docs = table(spark, sf_dir, "documents")
+    sequences.write(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return sequences.digest(spark, folder)

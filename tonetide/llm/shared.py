@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from tonetide.sources.stages import shared_dir
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` to a new folder under ``spark.checkpoint.dir`` and read it back.
 
     What is read back has no lineage, so a lost executor costs one re-read, and its size is known,
     so Spark broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     path = f"{shared_dir(df.sparkSession)}/table"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
