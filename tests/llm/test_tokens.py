@@ -58,7 +58,7 @@ def test_pieces_are_forgotten(monkeypatch):
         words = [f"word{j}" for j in range(i, i + 8)]
         (ids, _), = known.encode(words)
         assert ids.tolist() == tokenizer(True).encode(" " + " ".join(words)).ids
-        assert len(known.number) <= 10
+        assert len(known.numbers) <= 18
 
 
 ends = st.lists(st.integers(1, 4), max_size=60).map(lambda x: np.cumsum(np.array(x, np.int64)))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonetide.llm.encoding import Pieces, byte_bpe, cut, piece_bpe, sums_by
+from tonetide.llm.encoding import byte_bpe, cut, piece_bpe, sums_by, two_kinds
 from tonetide.llm.shared import stored
 from tonetide.llm.words import chunks, packed, ranges, unpacked, unpacked_counts, valid
 
@@ -103,7 +103,7 @@ def _encoder(a_path: str, b_path: str):
         size = max(len(a.bytes), len(b.bytes))
         if size > 1 << _ID_BITS:
             raise ValueError(f"ids of more than {_ID_BITS} bits")
-        known = Pieces(a.spaced, b.spaced)
+        known = two_kinds(a_path, b_path)
         a_bytes, b_bytes = np.array(a.bytes, dtype=object), np.array(b.bytes, dtype=object)
         decimal = _decimal(size)
         for batch in chunks(batches):

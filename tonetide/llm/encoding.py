@@ -13,14 +13,16 @@ import os
 import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 
 from tonetide.llm.words import ranges
 
 CUT = re.compile(r"(?<=[^\s\u2581]) (?=[^\s\u2581])")
-MEMORY_PIECES = 1 << 18
+# A space that is no such cut.
+ODD = re.compile(r" (?:[\s\u2581]|\Z|(?<=\A )|(?<=[\s\u2581] ))")
+MEMORY_PIECES = 1 << 19
 _JOINED = 1 << 12
 
 Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
@@ -53,18 +55,16 @@ class ByteBpe:
 
     def spaced(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each piece behind a space; many pieces go through the tokenizer as one text."""
-        lengths = np.fromiter((1 + len(p.encode()) for p in pieces), np.int64, len(pieces))
-        ends = np.cumsum(lengths)
-        texts, at = [], 0
-        while at < len(pieces):
-            before = ends[at] - lengths[at]
-            to = max(at + 1, int(np.searchsorted(ends, before + _JOINED, "right")))
-            texts.append(" " + " ".join(pieces[at:to]))
-            at = to
-        ids, _ = self.texts(texts)
-        found = np.cumsum(self.sizes[ids])
-        last = np.searchsorted(found, ends)
-        if len(found) and last[-1] < len(found) and np.array_equal(found[last], ends):
+        text = " ".join(["", *pieces])
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)
+        body = np.frombuffer(text.encode(), np.uint8)
+        letters = np.append(np.flatnonzero((body & 0xC0) != 0x80), len(body))
+        cuts = np.searchsorted(ends, np.arange(_JOINED, len(text) + _JOINED, _JOINED))
+        cuts = np.unique(ends[np.minimum(cuts, len(ends) - 1)]).tolist()
+        ids, _ = self.texts([text[i:j] for i, j in zip([0, *cuts], cuts)])
+        found, wanted = np.cumsum(self.sizes[ids]), letters[ends]
+        last = np.searchsorted(found, wanted)
+        if last[-1] < len(found) and np.array_equal(found[last], wanted):
             return ids, np.diff(last + 1, prepend=0)
         return self.texts([" " + p for p in pieces])
 
@@ -107,42 +107,51 @@ def piece_bpe(path: str) -> PieceBpe:
     return PieceBpe(path)
 
 
+class _Numbers(dict):
+    """Numbers strings in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Pieces:
-    """Remembers the ids of pieces. Holds ``MEMORY_PIECES`` pieces and those of one call at most."""
+    """Remembers the ids of pieces, ``MEMORY_PIECES`` of them and those of one call at most."""
 
     def __init__(self, *encoders: Encode):
         self.encoders = encoders
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat = [np.zeros(0, np.int64) for _ in self.encoders]
-        self.counts = [np.zeros(0, np.int64) for _ in self.encoders]
+        self.numbers = _Numbers()
+        self.flat = [np.zeros(0, np.int32) for _ in self.encoders]
+        self.counts = [np.zeros(0, np.int32) for _ in self.encoders]
 
     def encode(self, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each encoder the ids of all pieces in a row, and how many each piece has."""
-        wanted = set(pieces)
-        if len(self.number) + len(wanted) > MEMORY_PIECES:
+        if len(self.numbers) > MEMORY_PIECES:
             self._forget()
-        new = [p for p in wanted if p not in self.number]
+        at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+        new, self.numbers.new = self.numbers.new, []
         if new:
-            for p in new:
-                self.number[p] = len(self.number)
             for k, encode in enumerate(self.encoders):
                 flat, counts = encode(new)
-                self.flat[k] = np.concatenate((self.flat[k], flat))
-                self.counts[k] = np.concatenate((self.counts[k], counts))
-        at = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+                self.flat[k] = np.concatenate((self.flat[k], flat.astype(np.int32)))
+                self.counts[k] = np.concatenate((self.counts[k], counts.astype(np.int32)))
         out = []
         for flat, counts in zip(self.flat, self.counts):
-            starts = np.cumsum(counts) - counts
-            out.append((flat[ranges(starts[at], counts[at])], counts[at]))
+            starts, own = np.cumsum(counts, dtype=np.int64) - counts, counts[at].astype(np.int64)
+            out.append((flat[ranges(starts[at], own)].astype(np.int64), own))
         return out
 
 
 def cut(texts: list[str]) -> tuple[list[str], np.ndarray]:
     """The pieces of all texts, and how many each text has."""
-    parts = [CUT.split(t) for t in texts]
+    parts = [CUT.split(t) if ODD.search(t) else t.split(" ") for t in texts]
     return list(chain.from_iterable(parts)), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
@@ -159,7 +168,7 @@ class Texts:
         first[np.cumsum(n) - n] = True
         parts = [
             (first, *self.first.encode([pieces[i] for i in np.flatnonzero(first)])[0]),
-            (~first, *self.later.encode([p for p, f in zip(pieces, first.tolist()) if not f])[0]),
+            (~first, *self.later.encode(list(compress(pieces, ~first)))[0]),
         ]
         counts = np.zeros(len(pieces), np.int64)
         for chosen, _, own in parts:
@@ -171,6 +180,18 @@ class Texts:
         return ids, sums_by(counts, n)
 
 
+@lru_cache(maxsize=1)
+def byte_texts(path: str) -> Texts:
+    """One memory for all tasks of a Python worker; strings of special tokens are special."""
+    return Texts(byte_bpe(path, special_text=False))
+
+
+@lru_cache(maxsize=1)
+def two_kinds(a_path: str, b_path: str) -> Pieces:
+    """The same for the pieces of two tokenizers, strings of special tokens as plain text."""
+    return Pieces(byte_bpe(a_path).spaced, piece_bpe(b_path).spaced)
+
+
 def sums_by(counts: np.ndarray, groups: np.ndarray) -> np.ndarray:
     """Sum of ``counts`` over consecutive groups of the given sizes."""
     total = np.concatenate(([0], np.cumsum(counts)))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonetide.llm.encoding import Texts, byte_bpe
+from tonetide.llm.encoding import byte_bpe, byte_texts
 from tonetide.llm.shared import stored
 from tonetide.llm.words import chunks, valid
 from tonetide.sources.stages import _write_text
@@ -85,7 +85,7 @@ def _written(folder: str, path: str, length: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = byte_bpe(path, special_text=False)
         small = max(len(tokenizer.bytes) - 1, end_id) < 1 << 16
-        encoder, shard, documents = Texts(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, shard, documents = byte_texts(path), TaskContext.get().partitionId(), 0
         names = [f"shard-{shard:06d}-{uuid.uuid4().hex}-{x}.arrow" for x in ("documents", "ids")]
         files, base = _store(folder)
         sinks, sequences, index = [], None, None
