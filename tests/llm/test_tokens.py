@@ -55,10 +55,10 @@ def test_pieces_are_forgotten(monkeypatch):
     monkeypatch.setattr(encoding, "MEMORY_PIECES", 10)
     known = encoding.Pieces(encoding.byte_bpe(A).spaced)
     for i in range(0, 60, 6):
-        words = [f"word{j}" for j in range(i, i + 8)]
+        words = ["again", *(f"word{j}" for j in range(i, i + 8)), "again"]
         (ids, _), = known.encode(words)
         assert ids.tolist() == tokenizer(True).encode(" " + " ".join(words)).ids
-        assert len(known.numbers) <= 18
+        assert len(known.numbers) <= 19 and known.numbers["again"] == 0
 
 
 ends = st.lists(st.integers(1, 4), max_size=60).map(lambda x: np.cumsum(np.array(x, np.int64)))

@@ -120,16 +120,26 @@ class _Numbers(dict):
 
 
 class Pieces:
-    """Remembers the ids of pieces, ``MEMORY_PIECES`` of them and those of one call at most."""
+    """Remembers the ids of pieces, ``MEMORY_PIECES`` of them and those of one call at most.
+
+    When there are more, only pieces stay that were asked for again.
+    """
 
     def __init__(self, *encoders: Encode):
         self.encoders = encoders
-        self._forget()
+        self.numbers = _Numbers()
+        self.used = np.zeros(0, np.int64)
+        self.known = [(np.zeros(0, np.int32), np.zeros(0, np.int32)) for _ in encoders]
 
     def _forget(self) -> None:
+        kept = np.flatnonzero(self.used > 1)
+        if len(kept) > MEMORY_PIECES // 2:
+            kept = kept[:0]
+        names = list(self.numbers)
         self.numbers = _Numbers()
-        self.flat = [np.zeros(0, np.int32) for _ in self.encoders]
-        self.counts = [np.zeros(0, np.int32) for _ in self.encoders]
+        self.numbers.update((names[i], n) for n, i in enumerate(kept.tolist()))
+        self.used = np.zeros(len(kept), np.int64)
+        self.known = [_taken(*known, kept) for known in self.known]
 
     def encode(self, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each encoder the ids of all pieces in a row, and how many each piece has."""
@@ -138,15 +148,20 @@ class Pieces:
         at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
         new, self.numbers.new = self.numbers.new, []
         if new:
-            for k, encode in enumerate(self.encoders):
-                flat, counts = encode(new)
-                self.flat[k] = np.concatenate((self.flat[k], flat.astype(np.int32)))
-                self.counts[k] = np.concatenate((self.counts[k], counts.astype(np.int32)))
-        out = []
-        for flat, counts in zip(self.flat, self.counts):
-            starts, own = np.cumsum(counts, dtype=np.int64) - counts, counts[at].astype(np.int64)
-            out.append((flat[ranges(starts[at], own)].astype(np.int64), own))
-        return out
+            more = [encode(new) for encode in self.encoders]
+            self.known = [
+                tuple(np.concatenate((x, y.astype(np.int32))) for x, y in zip(known, found))
+                for known, found in zip(self.known, more)
+            ]
+            self.used = np.append(self.used, np.zeros(len(new), np.int64))
+        self.used += np.bincount(at, minlength=len(self.used))
+        return [tuple(x.astype(np.int64) for x in _taken(*known, at)) for known in self.known]
+
+
+def _taken(flat: np.ndarray, counts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists numbered ``at`` out of flat lists."""
+    starts = np.cumsum(counts, dtype=np.int64) - counts
+    return flat[ranges(starts[at], counts[at].astype(np.int64))], counts[at]
 
 
 def cut(texts: list[str]) -> tuple[list[str], np.ndarray]:
