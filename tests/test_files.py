@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tonetide.plans import postprocess, reports
 from tonetide.sources import readers, schemas, writers
-from tonetide.sources.ingest import clean_file, ingest
+from tonetide.sources.fingerprints import of_files, of_table
+from tonetide.sources.ingest import clean_file, ingest, quarantine_report, quarantined
 from tonetide.operators.ngrams import with_sanitized
 from tonetide.plans.inspect import plan_text
 from tonetide.sources.stages import is_complete, made_with, shared_dir, stage
@@ -198,3 +199,129 @@ def test_malformed_json_is_an_error_or_kept(spark, out):
         clean_file(spark, path, f"{out}/clean")
     kept = readers.read_json(spark, path, "id string, _corrupt_record string", "PERMISSIVE")
     assert sorted(map(tuple, kept.collect()), key=str) == [("a", None), (None, "not json")]
+
+
+def test_each_file_has_its_own_header(spark, out):
+    Path(out).mkdir(parents=True)
+    for name, text in (
+        ("a b.csv", "Input_id,labeldem,labelgop,labeldjt\n1,dem,gop,djt\n"),
+        ("b.csv", "Input_id,labeldjt,labelgop,labeldem\n2,djt,gop,dem\n3,djt,,dem\n"),
+        ("c.csv", 'more,"labelgop",labeldem,labeldjt,Input_id\nx,gop,dem,djt,4\n'),
+        ("d.csv", ""),
+        ("e.csv", "Input_id,labeldem,labelgop,labeldjt\n"),
+    ):
+        Path(f"{out}/{name}").write_text(text)
+    rows = sorted(map(tuple, readers.read_labels(spark, out).collect()))
+    assert rows == [(str(i), "dem", None if i == 3 else "gop", "djt") for i in (1, 2, 3, 4)]
+    assert len(readers.headers(spark, out)) == 3
+    Path(f"{out}/f.csv").write_text("Input_id,labeldem\n5,dem\n")
+    with pytest.raises(ValueError, match="f.csv has no column labelgop, labeldjt"):
+        readers.read_labels(spark, out)
+
+
+def test_labels_without_a_line(spark, out):
+    Path(out).mkdir(parents=True)
+    Path(f"{out}/empty.csv").write_text("")
+    assert readers.read_labels(spark, f"{out}/empty.csv").collect() == []
+
+
+def test_headers_of_one_large_file(spark, out, conf):
+    conf("spark.sql.files.maxPartitionBytes", "1k")
+    Path(out).mkdir(parents=True)
+    lines = "".join(f"{i},1,0,-1\n" for i in range(2000))
+    Path(f"{out}/l.csv").write_text("Input_id,labeldem,labelgop,labeldjt\n" + lines)
+    assert [h for h, _ in readers.headers(spark, f"{out}/l.csv")] == ["Input_id,labeldem,labelgop,labeldjt"]
+    assert readers.read_labels(spark, f"{out}/l.csv").count() == 2000
+
+
+def test_malformed_report_numbers_raise(spark, out):
+    Path(out).mkdir(parents=True)
+    path = f"{out}/time_data.csv"
+    Path(path).write_text("date,Negative,Positive\n2018-01-01,,12.5\n")
+    assert tuple(postprocess.load_report(spark, out, "time_data").first()) == ("2018-01-01", 12.5, None)
+    Path(path).write_text("date,Positive,Negative\n2018-01-01,12.5,1o\n")
+    with pytest.raises(Exception, match="Negative is no double: 1o"):
+        postprocess.load_report(spark, out, "time_data").collect()
+
+
+def test_malformed_lines_go_to_quarantine(spark, out):
+    path = raw_comments(f"{out}/raw")
+    good = Path(path).read_text()
+    Path(path).write_text(good + 'not json\n{"id": "c3", "score": "many"}\n')
+    Path(f"{out}/raw/threads.json").write_text('{"id": "3t", "title": "T", "score": 9}\n')
+    Path(f"{out}/raw/labels.csv").write_text("Input_id,labeldem,labelgop,labeldjt\nc1,1,0,1\n")
+    raw = (path, f"{out}/raw/threads.json", f"{out}/raw/labels.csv")
+    for _ in range(2):  # the second time from the finished stages
+        comments, threads, _ = ingest(spark, *raw, f"{out}/tables")
+        assert sorted(r.id for r in comments.collect()) == ["c1", "c2"]
+        assert comments.columns == readers.read_comments(spark, path).columns
+    lines = quarantined(spark, f"{out}/tables/comments")
+    assert {r.line for r in lines.collect()} == {"not json", '{"id": "c3", "score": "many"}'}
+    counts = quarantine_report(spark, f"{out}/tables").collect()
+    assert {r.name: r.lines for r in counts} == {"comments": 2, "threads": 0}
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        ingest(spark, *raw, f"{out}/strict", malformed="fail")
+    assert clean_file(spark, path, f"{out}/clean", malformed="quarantine").count() == 3
+    assert quarantined(spark, f"{out}/clean.lines").count() == 1  # the score is not read there
+
+
+def test_ingest_of_empty_files(spark, out):
+    Path(f"{out}/raw").mkdir(parents=True)
+    for name in ("comments.json", "threads.json"):
+        Path(f"{out}/raw/{name}").write_text("")
+    Path(f"{out}/raw/labels.csv").write_text("Input_id,labeldem,labelgop,labeldjt\n")
+    raw = [f"{out}/raw/{n}" for n in ("comments.json", "threads.json", "labels.csv")]
+    assert [t.count() for t in ingest(spark, *raw, f"{out}/tables")] == [0, 0, 0]
+    assert [r.lines for r in quarantine_report(spark, f"{out}/tables").collect()] == [0, 0]
+
+
+def test_changed_raw_files_are_not_reused(spark, out):
+    path = raw_comments(f"{out}/raw")
+    assert clean_file(spark, path, f"{out}/clean").count() == 2
+    assert clean_file(spark, path, f"{out}/clean").count() == 2
+    Path(path).write_text('{"body": "another"}\n')
+    with pytest.raises(ValueError, match="files"):
+        clean_file(spark, path, f"{out}/clean")
+
+
+def test_fingerprints(spark, out):
+    spark.range(10).write.parquet(f"{out}/a")
+    spark.range(11).write.parquet(f"{out}/b")
+    a, b = (spark.read.parquet(f"{out}/{x}") for x in "ab")
+    assert of_table(a) == of_table(spark.read.parquet(f"{out}/a")) != of_table(b)
+    assert of_table(a.where("id > 3")) == of_table(a.where("id > 3")) != of_table(a.where("id > 4"))
+    assert of_table(a.repartition(3)) == of_table(a.repartition(5))
+    assert of_table(a) != of_table(a.select((F.col("id") + 1).alias("id")))
+    local = [spark.createDataFrame(rows, "x int, y string") for rows in ([(1, "a"), (2, None)], [(2, None), (1, "a")], [(1, "a")])]
+    assert of_table(local[0]) == of_table(local[1]) != of_table(local[2])
+    assert of_table(None) is None and of_files(spark, [f"{out}/nothing"]) is None
+    first = of_files(spark, [f"{out}/a"])
+    spark.range(1).write.mode("append").parquet(f"{out}/a")
+    assert first != of_files(spark, [f"{out}/a"])
+
+
+def test_reports_have_a_row_limit(spark, out):
+    writers.write_report(spark.range(100).repartition(7), f"{out}/r.csv", ["id"], most=100)
+    assert spark.read.option("header", True).csv(f"{out}/r.csv").count() == 100
+    with pytest.raises(Exception, match="more than 99 rows"):
+        writers.write_report(spark.range(100).repartition(7), f"{out}/r.csv", ["id"], most=99)
+
+
+SCORED = (
+    "comment_id string, submission_id string, timestamp long, state string, title string,"
+    " pos int, neg int, comment_score long, submission_score long"
+)
+
+
+def test_reports_read_the_scored_table_once(spark, out):
+    spark.createDataFrame([], SCORED).write.parquet(f"{out}/scored")
+    plan = plan_text(reports.all_rollups(spark.read.parquet(f"{out}/scored")))
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and tree.count("Expand") == 1
+    assert "title" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_reports_of_no_rows(spark, out):
+    reports.write_reports(spark.createDataFrame([], SCORED), out)
+    assert [tuple(r) for r in postprocess.load_report(spark, out, "raw_percentages").collect()] == [(None, None)]
+    assert postprocess.load_report(spark, out, "time_data").count() == 0

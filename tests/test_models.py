@@ -204,3 +204,64 @@ def test_a_half_saved_model_is_rebuilt(spark, tmp_path):
     os.remove(f"{path}/_SUCCESS")  # as when the save broke after the metadata
     shutil.rmtree(f"{path}/data")
     assert stage_vocabulary(spark, path, build).vocabulary == ["a", "b"] and len(calls) == 2
+
+
+def test_folds_together_are_folds_in_turn(spark, tables):
+    from pyspark.ml.tuning import CrossValidator
+
+    from tonetide.operators.models import cross_validator, with_folds
+
+    comments = tables[0]
+    df = with_ngram_bag(comments, "body", GRAMS).withColumn(
+        "p", (F.col("body").startswith("great") | (F.col("score") == 3)).cast("int")
+    )
+    rows = with_folds(vectorize(fit_vocabulary(df, GRAMS), df), "id", 3, 1).cache()
+    for reg_params in ([1.0], [0.01, 1.0]):
+        together = cross_validator("p", reg_params, folds=3)
+        in_turn = CrossValidator(
+            estimator=together.getEstimator(), evaluator=together.getEvaluator(),
+            estimatorParamMaps=together.getEstimatorParamMaps(), numFolds=3, foldCol="__fold",
+        )
+        a, b = together.fit(rows), in_turn.fit(rows)
+        assert a.avgMetrics == pytest.approx(b.avgMetrics, abs=1e-9)
+        assert a.stdMetrics == pytest.approx(b.stdMetrics, abs=1e-9)
+        assert a.bestModel.getRegParam() == b.bestModel.getRegParam()
+        assert a.bestModel.coefficients.toArray() == pytest.approx(
+            b.bestModel.coefficients.toArray(), abs=1e-6
+        )
+
+
+def test_small_tables_train_in_few_parts(spark, tmp_path):
+    from tonetide.operators.models import in_few_parts
+
+    spark.range(0, 1000, 1, 8).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert df.rdd.getNumPartitions() > 1 and in_few_parts(df).rdd.getNumPartitions() == 1
+    assert in_few_parts(df).count() == 1000
+
+
+def test_training_knows_its_tables(spark, tables, trained):
+    comments, _, labels = tables
+    workdir = trained[2]
+    models, _ = train(spark, labels, comments, workdir, seed=5)
+    assert models.vocabulary.vocabulary == trained[0].vocabulary.vocabulary
+    with pytest.raises(ValueError, match="was made with"):
+        train(spark, labels.where("Input_id > 'c2'"), comments, workdir, seed=5)
+    with pytest.raises(ValueError, match="was made with"):
+        train(spark, labels, comments.withColumn("body", F.lower("body")).where("score > 2"), workdir, seed=5)
+
+
+def test_rank_sum_in_ranges(spark):
+    from tonetide.operators.models import rank_sum_auc
+
+    rows = [(float((i * 7919) % 53), int((i * 31) % 7 < 3)) for i in range(400)] + [(5.0, 1)] * 300
+    df = spark.createDataFrame(rows, "s double, y int").repartition(6)
+    pairs = [(a, b) for a, y in rows if y for b, z in rows if not z]
+    want = sum((a > b) + 0.5 * (a == b) for a, b in pairs) / len(pairs)
+    got = rank_sum_auc(df, "s", "y")
+    assert tuple(got.first()) == (700, pytest.approx(want, abs=1e-12))
+    # One row per task reaches the last aggregate; nothing else goes to a single partition.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    window = plan[plan.index("Window"):]
+    assert "SinglePartition" not in window
+    assert tuple(rank_sum_auc(df.limit(0), "s", "y").first()) == (0, None)

@@ -169,3 +169,32 @@ def test_views_and_inspection(spark, capsys):
     df.printSchema()
     df.show()
     assert "id: long" in capsys.readouterr().out
+
+
+def test_key_filter_is_applied_before_texts_shuffle(spark, conf):
+    """Labels and their keys above the broadcast limit: a filter of bounded size goes first."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    labels = spark.range(0, 3000, 3).select(F.col("id").cast("string").alias("Input_id"), F.lit("1").alias("l"))
+    texts = spark.range(5000).select(F.col("id").cast("string").alias("id"), F.lit("text").alias("body"))
+    texts = texts.unionByName(spark.createDataFrame([(None, "no id")], "id string, body string"))
+    joined = join_labels(labels, texts, "Input_id", "id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    side = plan[plan.index("SortMergeJoin"):]
+    exchange, at = side.index("Exchange hashpartitioning(__text_key"), side.index("getbit")
+    assert exchange < at < side.index("BroadcastHashJoin") + len(side)
+    assert side.index("BroadcastHashJoin") > exchange
+    assert sorted(r.Input_id for r in joined.collect()) == sorted(str(i) for i in range(0, 3000, 3))
+
+
+def test_key_filter_lets_few_others_through(spark):
+    from tonetide.operators.joins import key_filter, maybe_in
+
+    keys = spark.range(0, 2000, 2).select(F.col("id").cast("string").alias("k"))
+    keys = keys.unionByName(spark.createDataFrame([(None,), ("0",)], "k string"))
+    built = key_filter(keys, "k", 1 << 17)
+    assert built.count() <= 4
+    texts = spark.range(20_000).select(F.col("id").cast("string").alias("k"))
+    passed = {r.k for r in maybe_in(texts, "k", built, 1 << 17).collect()}
+    assert {str(i) for i in range(0, 2000, 2)} <= passed and len(passed) < 1400
+    assert maybe_in(texts, "k", key_filter(keys.limit(0), "k")).count() == 0

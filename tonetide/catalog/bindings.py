@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tonetide.constants import REGIONS
 from tonetide.functions.values import epoch_to_day, strip_prefix
+from tonetide.operators.joins import attach_threads
 from tonetide.sources.readers import read_table
 
 # Values no region filter may keep, next to those it keeps.
@@ -113,13 +114,10 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("comment_id"),
         F.col("created_utc").alias("timestamp"),
         F.col("author_flair_text").alias("state"),
-        strip_prefix("link_id", "t3_").alias("submission_id"),
+        strip_prefix("link_id", "t3_").alias("__thread"),
         F.col("score").alias("comment_score"),
     )
-    parents = threads(spark, sf_dir).select(
-        F.col("id").alias("submission_id"), "title", F.col("score").alias("submission_score")
-    )
-    return texts.join(flags, "comment_id").join(parents, "submission_id")
+    return attach_threads(texts.join(flags, "comment_id"), threads(spark, sf_dir))
 
 
 FLAGGED = f"""

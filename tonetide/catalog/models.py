@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonetide.catalog import bindings as B
@@ -11,10 +12,24 @@ from tonetide.catalog.registry import query
 from tonetide.catalog.files import _write_json, _write_labels
 from tonetide.catalog.samples import _position
 from tonetide.catalog.terms import LABELED_TERMS
-from tonetide.constants import FOLDS, NEGATIVE_THRESHOLD, POSITIVE_THRESHOLD, TRAIN_WEIGHTS
+from tonetide.constants import (
+    FOLDS,
+    NEGATIVE_THRESHOLD,
+    POSITIVE_THRESHOLD,
+    REG_PARAMS,
+    TRAIN_WEIGHTS,
+)
 from tonetide.functions.values import class_probability
 from tonetide.operators.joins import merge_scores
-from tonetide.operators.models import FOLD, Models, evaluate_auc, score, with_folds
+from tonetide.operators.models import (
+    FOLD,
+    Models,
+    cross_validator,
+    evaluate_auc,
+    rank_sum_auc,
+    score,
+    with_folds,
+)
 from tonetide.operators.ngrams import with_ngram_bag
 from tonetide.operators.sampling import hash_split
 from tonetide.plans import reports as R
@@ -279,6 +294,43 @@ def classifiers_beat_a_constant(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def _loss_and_weights(model, training, label):
+    """Mean log loss of the rows, and the sum of the squared standardized weights.
+
+    The one vector that reaches the driver has a number per vocabulary term.
+    """
+    y, p = F.col(label), class_probability(model.getProbabilityCol())
+    of = model.transform(training.select("features", label)).agg(
+        (-F.avg(F.when(y == 1, F.log(p)).otherwise(F.log(1 - p)))).alias("loss"),
+        Summarizer.std(F.col("features")).alias("std"),
+    ).first()
+    return of.loss, float(((model.coefficients.toArray() * of.std.toArray()) ** 2).sum())
+
+
+@query(
+    "M3 M4 M5",
+    f"""SELECT c AS classifier, CAST({REG_PARAMS[0]} AS DOUBLE) AS reg_param,
+               (SELECT count(*) FROM ({LABELED_TERMS})) AS features, TRUE AS equal
+        FROM (VALUES ('positive'), ('negative')) t(c)""",
+)
+def objective_has_the_penalty_of_the_grid(spark, sf_dir):
+    """What the optimizer minimized is the rows' log loss and the penalty of the grid's ``regParam``."""
+    training, _ = _split(spark, sf_dir)
+    rows = []
+    for name, label in (("positive", "pos_label"), ("negative", "neg_label")):
+        validator = cross_validator(label)
+        point = validator.getEstimatorParamMaps()[0]
+        model = validator.getEstimator().fit(training.select("features", label), point)
+        loss, squares = _loss_and_weights(model, training, label)
+        told = model.summary.objectiveHistory[-1]
+        off = [abs(told - loss - r * REG_PARAMS[0] / 2 * squares) for r in (1.0, 0.0, 0.5, 2.0)]
+        equal = off[0] < 1e-9 and min(off[1:]) > 1e-6
+        rows.append((name, float(model.getRegParam()), int(model.numFeatures), equal))
+    return spark.createDataFrame(
+        rows, "classifier string, reg_param double, features long, equal boolean"
+    )
+
+
 @query(
     "M9 M6",
     f"""SELECT c AS classifier, CAST(count_if(NOT {_FIRST}) AS BIGINT) AS n, TRUE AS equal
@@ -297,21 +349,9 @@ def held_out_auc_is_a_rank_sum(spark, sf_dir):
         scored = best.transform(held_out.select("features", label)).select(
             F.col(label).alias("y"), vector_to_array(best.getRawPredictionCol())[1].alias("s")
         )
-        # Scores by value: as many ranks as there are distinct scores, not rows, meet in the window.
-        by_score = scored.groupBy("s").agg(
-            F.sum(F.col("y").cast("double")).alias("ones"), F.count(F.lit(1)).alias("rows")
-        )
-        before = F.coalesce(
-            F.sum("rows").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        )
-        ranked = by_score.withColumn("rank", before + (F.col("rows") + 1) / 2)
-        ones, rows = F.sum("ones"), F.sum("rows")
-        auc = (F.sum(F.col("ones") * F.col("rank")) - ones * (ones + 1) / 2) / (ones * (rows - ones))
-        parts.append(
-            ranked.agg(
-                rows.alias("n"), _sure(F.abs(auc - F.lit(told[name])) < 1e-9).alias("equal")
-            ).select(F.lit(name).alias("classifier"), "n", "equal")
-        )
+        ranked = rank_sum_auc(scored, "s", "y")
+        equal = _sure(F.abs(F.col("auc") - F.lit(told[name])) < 1e-9)
+        parts.append(ranked.select(F.lit(name).alias("classifier"), "n", equal.alias("equal")))
     return parts[0].unionByName(parts[1])
 
 

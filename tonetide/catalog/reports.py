@@ -58,6 +58,25 @@ def percent_by_thread(spark, sf_dir):
     return percent_rollup(B.flagged(spark, sf_dir), ["submission_id", "submission_score"])
 
 
+@query(
+    "A1 A2 A3 A4 A5 A6",
+    f"""SELECT date, state, submission_id, submission_score, comment_score, {B.PERCENT},
+               count(*) AS "__comments",
+               CASE grouping_id(date, state, submission_id, submission_score, comment_score)
+                 WHEN 31 THEN 'raw_percentages' WHEN 15 THEN 'time_data' WHEN 23 THEN 'state_data'
+                 WHEN 29 THEN 'submission_score' WHEN 30 THEN 'comment_score' ELSE 'threads'
+               END AS report
+        FROM (SELECT *, strftime(make_timestamp(timestamp * 1000000), '%Y-%m-%d') AS date
+              FROM ({B.FLAGGED}))
+        GROUP BY GROUPING SETS
+          ((), (date), (state), (submission_score), (comment_score), (submission_id, submission_score))
+    """,
+)
+def percents_of_all_reports(spark, sf_dir):
+    """Every grouping of the reports from one scan."""
+    return R.all_rollups(B.flagged(spark, sf_dir))
+
+
 def _top(measure: str) -> str:
     return f"""
         SELECT submission_id, submission_score, {B.PERCENT} FROM ({B.FLAGGED})

@@ -19,6 +19,10 @@ from tonetide.sources.readers import estimated_bytes
 # counting, fewer than 1 / share keys do, which bounds what is broadcast; a key below the share is
 # small beside what a task reads anyway.
 HOT_SHARE = 1 / 100_000
+# Bits of the filter that label keys set: 32 MB, whatever their number.
+FILTER_BITS = 1 << 28
+_ROW_SHIFT = 15
+_ROW_BITS = 1 << _ROW_SHIFT
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
@@ -88,19 +92,49 @@ def skewed_join(
     return left.join(right, matches).drop("__split", "__part")
 
 
+def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """``__bucket`` and ``__bits``: a bit is set where the hash of some key falls.
+
+    A Bloom filter of one hash, built in the cluster. Each row holds 32,768 bits, so the whole takes
+    ``bits`` / 8 bytes at most, however many keys there are.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    in_row = F.bitmap_construct_agg(place.bitwiseAND(F.lit(_ROW_BITS - 1)))
+    return (
+        keys.where(F.col(key).isNotNull())
+        .groupBy(F.shiftright(place, _ROW_SHIFT).alias("__bucket"))
+        .agg(in_row.alias("__bits"))
+    )
+
+
+def maybe_in(df: DataFrame, key: str, built: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose key may be among those of ``key_filter``; the others are surely not."""
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    within = place.bitwiseAND(F.lit(_ROW_BITS - 1))
+    byte = F.substring("__bits", F.shiftright(within, 3).cast("int") + 1, F.lit(1))
+    number = F.conv(F.hex(byte), 16, 10).cast("int")
+    near = df.join(F.broadcast(built), F.shiftright(place, _ROW_SHIFT) == F.col("__bucket"))
+    is_set = F.getbit(number, within.bitwiseAND(F.lit(7)).cast("int")) == 1
+    return near.where(is_set).drop("__bucket", "__bits")
+
+
 def join_labels(
     labels: DataFrame, texts: DataFrame, label_key: str, text_key: str, body: str = "body"
 ) -> DataFrame:
     """Labels with the text they belong to; only the key and ``body`` of the texts are read.
 
     If the labels are too large to broadcast but their keys are not, the keys alone filter the
-    texts first, so that only labelled texts shuffle.
+    texts first, so that only labelled texts shuffle. If the keys are too large as well, a filter of
+    ``FILTER_BITS`` made from them does so for nearly all texts without a label.
     """
     bodies = texts.select(F.col(text_key).alias("__text_key"), F.col(body).alias("body"))
     keys = labels.select(F.col(label_key).alias("__label_key"))
-    if not fits_broadcast(labels) and fits_broadcast(keys):
-        wanted = F.broadcast(keys.where(F.col("__label_key").isNotNull()).distinct())
-        bodies = bodies.join(wanted, F.col("__text_key") == F.col("__label_key"), "left_semi")
+    if not fits_broadcast(labels):
+        if fits_broadcast(keys):
+            wanted = F.broadcast(keys.where(F.col("__label_key").isNotNull()).distinct())
+            bodies = bodies.join(wanted, F.col("__text_key") == F.col("__label_key"), "left_semi")
+        else:
+            bodies = maybe_in(bodies, "__text_key", key_filter(keys, "__label_key"))
     return labels.join(bodies, F.col(label_key) == F.col("__text_key")).drop("__text_key")
 
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from statistics import fmean, pstdev
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tonetide.constants import (
@@ -21,10 +23,13 @@ from tonetide.constants import (
 )
 from tonetide.functions.values import class_probability, flag
 from tonetide.operators.sampling import key_position
-from tonetide.sources.stages import stage_model
+from tonetide.sources.readers import estimated_bytes
+from tonetide.sources.stages import shared_dir, stage, stage_model
 
 FEATURES = "features"
 FOLD = "__fold"
+# Bytes of stored vectors that a task of the optimizer reads, at least.
+TASK_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -61,25 +66,65 @@ def evaluator(label: str, score: str = "rawPrediction") -> BinaryClassificationE
     )
 
 
+class FoldsTogether(CrossValidator):
+    """Cross-validation whose folds train at the same time, not one after the other.
+
+    Every fit is a chain of short jobs, each waiting for the one before it. ``parallelism`` of them
+    run side by side, whatever fold and parameters they belong to; with a grid of one point, the fit
+    on all rows is among them. Folds, metrics and models are those of ``CrossValidator``.
+    """
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        estimator, points = self.getOrDefault("estimator"), self.getOrDefault("estimatorParamMaps")
+        judge, folds = self.getOrDefault("evaluator"), self.getOrDefault("numFolds")
+        fold = F.col(self.getOrDefault("foldCol"))
+
+        def metric(number: int, point: dict) -> float:
+            model = estimator.fit(dataset.where(fold != number), point)
+            return judge.evaluate(model.transform(dataset.where(fold == number)))
+
+        with ThreadPoolExecutor(self.getOrDefault("parallelism")) as pool:
+            whole = pool.submit(estimator.fit, dataset, points[0]) if len(points) == 1 else None
+            found = [[pool.submit(metric, n, point) for n in range(folds)] for point in points]
+            metrics = [[m.result() for m in of_point] for of_point in found]
+        averages = [fmean(m) for m in metrics]
+        best = averages.index(max(averages) if judge.isLargerBetter() else min(averages))
+        model = whole.result() if whole else estimator.fit(dataset, points[best])
+        return self._copyValues(
+            CrossValidatorModel(model, averages, stdMetrics=[pstdev(m) for m in metrics])
+        )
+
+
 def cross_validator(
     label: str,
     reg_params: Sequence[float] = REG_PARAMS,
     folds: int = FOLDS,
     seed: int = 0,
-    parallelism: int = 1,
+    parallelism: int | None = None,
 ) -> CrossValidator:
+    """``parallelism`` fits run at the same time; by default the folds and the fit on all rows."""
     lr = LogisticRegression(labelCol=label, featuresCol=FEATURES, maxIter=MAX_ITERATIONS)
-    return CrossValidator(
+    return FoldsTogether(
         estimator=lr,
         evaluator=evaluator(label),
         estimatorParamMaps=grid(lr, reg_params),
         numFolds=folds,
         foldCol=FOLD,
         seed=seed,
-        parallelism=parallelism,
+        parallelism=parallelism or folds + 1,
     )
 
 
+def in_few_parts(df: DataFrame) -> DataFrame:
+    """The rows of a stored table in parts of ``TASK_BYTES`` or more.
+
+    Each iteration sends the weights to every task and a gradient back, so small tables take few.
+    Spark deals a small table over all cores; a large one already has parts of this size.
+    """
+    parts = -(-estimated_bytes(df) // TASK_BYTES)
+    return df.coalesce(parts) if 0 < parts < df.rdd.getNumPartitions() else df
+
+
 def with_folds(df: DataFrame, key: str, folds: int, seed: int) -> DataFrame:
     """Number each row's fold by its key, so that folds do not depend on row order."""
     return df.withColumn(
@@ -94,10 +139,10 @@ def train_one(
     reg_params: Sequence[float] = REG_PARAMS,
     folds: int = FOLDS,
     seed: int = 0,
-    parallelism: int = 1,
+    parallelism: int | None = None,
 ) -> CrossValidatorModel:
     """Cross-validate one classifier on a table with ``key``, ``label`` and ``features``."""
-    rows = with_folds(df.select(key, FEATURES, label), key, folds, seed)
+    rows = with_folds(in_few_parts(df.select(key, FEATURES, label)), key, folds, seed)
     return cross_validator(label, reg_params, folds, seed, parallelism).fit(rows)
 
 
@@ -109,7 +154,7 @@ def train_pair(
     reg_params: Sequence[float] = REG_PARAMS,
     folds: int = FOLDS,
     seed: int = 0,
-    parallelism: int = 1,
+    parallelism: int | None = None,
 ) -> tuple[CrossValidatorModel, CrossValidatorModel]:
     return (
         train_one(df, key, pos, reg_params, folds, seed, parallelism),
@@ -177,6 +222,39 @@ def evaluate_auc(df: DataFrame, score_col: str, label: str) -> float:
     )
 
 
+def rank_sum_auc(df: DataFrame, score_col: str, label: str) -> DataFrame:
+    """``n`` and ``auc``: the area under ROC as a rank sum, ties counted half, in one row.
+
+    Scores are dealt by ranges, and each range ranks its own scores behind the rows of the
+    ranges before it: no task orders all of them. Rows of equal score are counted first, so a score
+    that most rows have is one row.
+    """
+    spark = df.sparkSession
+    by_score = df.groupBy(F.col(score_col).alias("s")).agg(
+        F.sum(F.col(label).cast("double")).alias("ones"), F.count(F.lit(1)).alias("rows")
+    )
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Written, so that the numbers of the ranges stay what they are.
+    ranges = stage(
+        spark,
+        f"{shared_dir(spark)}/scores",
+        lambda: by_score.repartitionByRange(parts, "s").withColumn("part", F.spark_partition_id()),
+    )
+    before, firsts = 0, []
+    for part, rows in sorted(map(tuple, ranges.groupBy("part").agg(F.sum("rows")).collect())):
+        firsts.append((part, before))
+        before += rows
+    first = F.broadcast(spark.createDataFrame(firsts, "part int, before long"))  # a row per range
+    mine = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum("rows").over(mine), F.lit(0))
+    ranked = ranges.join(first, "part").withColumn(
+        "rank", F.col("before") + within + (F.col("rows") + 1) / 2
+    )
+    ones, rows = F.sum("ones"), F.sum("rows")
+    auc = (F.sum(F.col("ones") * F.col("rank")) - ones * (ones + 1) / 2) / (ones * (rows - ones))
+    return ranked.agg(F.coalesce(rows, F.lit(0)).alias("n"), auc.alias("auc"))
+
+
 def evaluate(models: Models, df: DataFrame, pos: str, neg: str) -> tuple[float, float]:
     """Area under ROC of both classifiers on held-out rows with ``features`` and labels."""
     return (

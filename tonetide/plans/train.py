@@ -27,6 +27,7 @@ from tonetide.operators.models import (
 from tonetide.operators.ngrams import with_ngram_bag
 from tonetide.operators.sampling import hash_split
 from tonetide.operators.vocabulary import fit_vocabulary, vectorize
+from tonetide.sources.fingerprints import of_table
 from tonetide.sources.stages import made_with, stage
 
 GRAMS = "grams"
@@ -56,18 +57,22 @@ def train(
     reg_params: Sequence[float] = REG_PARAMS,
     folds: int = FOLDS,
     weights: Sequence[float] = TRAIN_WEIGHTS,
-    parallelism: int = 1,
-    inputs: str = "",
+    parallelism: int | None = None,
+    inputs: str | None = None,
 ) -> tuple[Models, DataFrame]:
     """Train, or reuse what an earlier run finished under ``workdir``.
 
-    A stage made with other parameters, or from other ``inputs`` (a name for labels and comments,
-    such as their paths), is not reused but an error.
+    A stage made with other parameters, or from other inputs, is not reused but an error. ``inputs``
+    names labels and comments; by default it is a fingerprint of their plans and files (see
+    ``sources.fingerprints``). A finished run can be loaded with None for both tables.
 
     Returns the models and the held-out part with ``features`` and both labels. The labeled
     n-grams and vectors are written tables: every pass of the optimizer re-reads them instead
     of repeating the join and the text cleaning, also after losing an executor.
     """
+    if inputs is None:
+        known = [of_table(labels), of_table(comments)]
+        inputs = None if None in known else " ".join(known)
     base = {"inputs": inputs}
     terms = base | {"min_df": min_df, "vocabulary_size": vocabulary_size}
     fit = terms | {

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,21 +40,60 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A report file written by ``write_report``."""
-    return _csv_by_name(spark, path, schema)
+    """A report file written by ``write_report``. A value that is not of its type is an error."""
+    text = _csv_by_name(spark, path, schema, texts=True)
+    return text.select(*[_strict(f) for f in T.StructType.fromDDL(schema).fields])
+
 
+def _strict(field: T.StructField) -> Column:
+    text = F.col(f"`{field.name}`")
+    value = text.try_cast(field.dataType)
+    wrong = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), text)
+    malformed = text.isNotNull() & value.isNull()
+    return F.when(malformed, F.raise_error(wrong)).otherwise(value).alias(field.name)
 
-def _csv_by_name(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Columns by the header's names, in whatever order the file has them, and others left out.
 
-    A column that the header lacks is an error.
+def headers(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """The first lines that the CSV files of ``path`` have, each with the files that have it.
+
+    The first line of a file is that of least number among the lines read from its beginning: one
+    job, combined on the map side to a line per file. File names are as many as Spark lists itself.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("number"),
+        "value",
+    )
+    first = lines.where(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "number").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.sort("file").toLocalIterator():
+        found.setdefault(row["header"], []).append(unquote(row["file"]))
+    return list(found.items())
+
+
+def _csv_by_name(spark: SparkSession, path: str, schema: str, texts: bool = False) -> DataFrame:
+    """Columns by the names in each file's header, in whatever order it has them, others left out.
+
+    Files of one header are read together. A column that a header lacks is an error. ``texts``
+    keeps values as text. Without any file that has a line there are no rows.
     """
-    text = spark.read.option("header", True).csv(path)
     wanted = T.StructType.fromDDL(schema).fields
-    missing = [f.name for f in wanted if f.name not in text.columns]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
-    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted])
+    kinds = headers(spark, path)
+    parts = []
+    for _, files in kinds:
+        text = spark.read.option("header", True).csv(path if len(kinds) == 1 else files)
+        missing = [f.name for f in wanted if f.name not in text.columns]
+        if missing:
+            raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
+        columns = [F.col(f"`{f.name}`") for f in wanted]
+        if not texts:
+            columns = [c.try_cast(f.dataType).alias(f.name) for c, f in zip(columns, wanted)]
+        parts.append(text.select(*columns))
+    if not parts:
+        names = ", ".join(f"`{f.name}` {'string' if texts else f.dataType.simpleString()}" for f in wanted)
+        return spark.createDataFrame([], names)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def estimated_bytes(df: DataFrame) -> int:

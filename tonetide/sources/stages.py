@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Protocol, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +61,7 @@ def _claim(spark: SparkSession, path: str, made_with: str) -> None:
     fs, file = _file(spark, note)
     if fs.exists(file):
         before = "\n".join(r[0] for r in spark.read.text(note, wholetext=True).collect())
-        if before != made_with:
+        if not _agree(before, made_with):
             raise ValueError(f"{path} was made with {before}, not with {made_with}")
         return
     _, folder = _file(spark, path)
@@ -70,24 +70,40 @@ def _claim(spark: SparkSession, path: str, made_with: str) -> None:
     _write_text(spark, note, made_with)
 
 
+def _agree(before: str, now: str) -> bool:
+    """Equal parameters; one that is not known on either side says nothing."""
+    if before == now:
+        return True
+    a, b = json.loads(before), json.loads(now)
+    return a.keys() == b.keys() and all(
+        a[k] == b[k] or a[k] is None or b[k] is None for k in a
+    )
+
+
 def made_with(**parameters) -> str:
-    """Text that names parameters, the same for equal ones."""
+    """Text that names parameters, the same for equal ones. None means: not known."""
     return json.dumps(parameters, sort_keys=True, default=str)
 
 
 def stage(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], parameters: str = "{}"
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    parameters: str = "{}",
+    partition_by: Sequence[str] = (),
+    schema: str | None = None,
 ) -> DataFrame:
     """Read ``path`` if it is complete, else build it, write it and read it back.
 
     The table read back has no lineage behind it, so a lost executor costs one re-read. A stage made
     with other ``parameters`` (see ``made_with``) is never read: that is an error, as is a folder
-    that no stage has written.
+    that no stage has written. ``partition_by`` names columns whose values get folders of their own; it
+    needs the table's ``schema``, as a table without rows has no such folder.
     """
     _claim(spark, path, parameters)
     if not is_complete(spark, path):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        build().write.mode("overwrite").parquet(path, partitionBy=list(partition_by) or None)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def stage_model(
