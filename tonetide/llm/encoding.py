@@ -120,20 +120,21 @@ class _Numbers(dict):
 
 
 class Pieces:
-    """Remembers the ids of pieces, ``MEMORY_PIECES`` of them and those of one call at most.
+    """Remembers the ids of pieces, ``MEMORY_PIECES`` (fewer for two encoders) and those of one call.
 
     When there are more, only pieces stay that were asked for again.
     """
 
     def __init__(self, *encoders: Encode):
         self.encoders = encoders
+        self.limit = 2 * MEMORY_PIECES // (1 + len(encoders))
         self.numbers = _Numbers()
         self.used = np.zeros(0, np.int64)
         self.known = [(np.zeros(0, np.int32), np.zeros(0, np.int32)) for _ in encoders]
 
     def _forget(self) -> None:
         kept = np.flatnonzero(self.used > 1)
-        if len(kept) > MEMORY_PIECES // 2:
+        if len(kept) > self.limit // 2:
             kept = kept[:0]
         names = list(self.numbers)
         self.numbers = _Numbers()
@@ -143,7 +144,7 @@ class Pieces:
 
     def encode(self, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each encoder the ids of all pieces in a row, and how many each piece has."""
-        if len(self.numbers) > MEMORY_PIECES:
+        if len(self.numbers) > self.limit:
             self._forget()
         at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
         new, self.numbers.new = self.numbers.new, []
