@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import islice
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonetide.constants import MIN_DOCUMENT_FREQUENCY, VOCABULARY_SIZE
@@ -34,6 +35,20 @@ def document_frequency(df: DataFrame, tokens: str, min_df: int = 1) -> DataFrame
     )
 
 
+def vocabulary_model(terms: Sequence[str], tokens: str, out: str) -> CountVectorizerModel:
+    """A model of given terms, handed to the JVM as one text instead of term by term."""
+    end = "\0"
+    if any(end in t for t in terms):
+        return CountVectorizerModel.from_vocabulary(list(terms), inputCol=tokens, outputCol=out)
+    jvm = SparkSession.active()._jvm
+    array = jvm.java.util.regex.Pattern.compile(end).split(end.join(terms), -1)
+    model = CountVectorizerModel._create_from_java_class(
+        "org.apache.spark.ml.feature.CountVectorizerModel", array
+    )
+    model._set(vocabSize=len(terms))
+    return model.setInputCol(tokens).setOutputCol(out)
+
+
 def fit_vocabulary(
     df: DataFrame,
     tokens: str,
@@ -52,7 +67,8 @@ def fit_vocabulary(
     spark = df.sparkSession
     counts = stage(spark, f"{shared_dir(spark)}/terms", lambda: document_frequency(df, tokens, min_df))
     left, cut = size, None
-    for row in counts.groupBy("tf").count().sort(F.desc("tf")).toLocalIterator():
+    frequencies = counts.groupBy("tf").count().sort(F.desc("tf"))
+    for row in frequencies.toLocalIterator() if counts.count() > size else ():
         if row["count"] > left:
             cut = row["tf"]
             break
@@ -65,8 +81,7 @@ def fit_vocabulary(
         terms += [row.term for row in islice(ties, left)]
     if not terms:
         raise ValueError(f"no term occurs in {min_df} rows or more; lower min_df")
-    model = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens, outputCol=out)
-    return model.setBinary(binary)
+    return vocabulary_model(terms, tokens, out).setBinary(binary)
 
 
 def vectorize(model: CountVectorizerModel, df: DataFrame) -> DataFrame:
