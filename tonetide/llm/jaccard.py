@@ -106,51 +106,67 @@ def _bucketed(k: int, buckets: int, frequent):
             inside = listed < len(frequent.value)
             often[inside] = frequent.value[listed[inside]] == grams[inside]
             # Frequent shingles need no counting: they go by set, under negative numbers.
-            by_set = (names[row] % np.uint64(buckets)).astype(np.int64)
+            by_set = _by_set(names[row], buckets)
             target = np.where(often, -1 - by_set, bucket)
-            yield _packed_runs(target, bucket, names[row], counts[row], grams & _LOW)
+            # A set's size goes with its first shingle only.
+            begin = np.flatnonzero(np.diff(row, prepend=-1))
+            told = target[begin], names[row[begin]], counts[row[begin]]
+            yield _packed_rows(target, bucket, names[row], grams & _LOW, told)
 
     return run
 
 
-_PACKED = "target int, names binary, sizes binary, runs binary, low binary, high binary, home binary"
+_PACKED = (
+    "target int, names binary, runs binary, low binary, high binary, "
+    "told_names binary, told_sizes binary, home binary"
+)
+_RUN = 255
 
 
-def _packed_runs(target, bucket, names, sizes, low, df=None) -> pa.RecordBatch:
-    """One row per target; within it one entry per set and one per shingle of the set."""
+def _packed_rows(target, bucket, names, low, told, df=None) -> pa.RecordBatch:
+    """One row per target: its sets with a count of shingles each, the shingles, and sizes of sets.
+
+    A set costs nine bytes where it has shingles. Its size is told in one row, not in all: ``told``
+    has a target, a name and a size for each.
+    """
     order = np.lexsort((names, target)) if df is not None else np.argsort(target, kind="stable")
-    target, bucket, names, sizes, low = (x[order] for x in (target, bucket, names, sizes, low))
+    target, bucket, names, low = (x[order] for x in (target, bucket, names, low))
     new = np.ones(len(target), dtype=bool)
     new[1:] = (target[1:] != target[:-1]) | (names[1:] != names[:-1])
     head = np.flatnonzero(new)
+    begin = np.repeat(head, np.diff(np.append(head, len(target))))
+    head = np.flatnonzero((np.arange(len(target)) - begin) % _RUN == 0)  # long runs go in parts
     runs = np.diff(np.append(head, len(target)))
-    rows, at = np.unique(target, return_index=True)
-    sets = np.append(np.searchsorted(head, at), len(head))
-    cuts = np.append(at, len(target))
+    to, told_names, told_sizes = (x[np.argsort(told[0], kind="stable")] for x in told)
+    rows = np.unique(np.concatenate((target, to)))
+
+    def cuts(of: np.ndarray) -> np.ndarray:
+        return np.append(np.searchsorted(of, rows), len(of))
+
     columns = [
         pa.array(rows.astype(np.int32)),
-        W.packed(names[head], sets),
-        W.packed(sizes[head].astype(np.uint32), sets),
-        W.packed(runs.astype(np.uint32), sets),
-        W.packed(low.astype(np.uint32), cuts),
-        W.packed((low >> np.uint64(32)).astype(np.uint8), cuts),
+        W.packed(names[head], cuts(target[head])),
+        W.packed(runs.astype(np.uint8), cuts(target[head])),
+        W.packed(low.astype(np.uint32), cuts(target)),
+        W.packed((low >> np.uint64(32)).astype(np.uint8), cuts(target)),
+        W.packed(told_names, cuts(to)),
+        W.packed(told_sizes.astype(np.uint32), cuts(to)),
     ]
     if df is None:
         # The bucket of an ordinary row is its target; rows of frequent shingles list them.
-        home = np.where(target < 0, 1, 0)
-        columns.append(W.packed(bucket[home > 0].astype(np.uint32), np.concatenate(([0], np.cumsum(home)))[cuts]))
+        home = np.concatenate(([0], np.cumsum(target < 0)))
+        columns.append(W.packed(bucket[target < 0].astype(np.uint32), home[cuts(target)]))
     else:
-        columns.append(W.packed(bucket.astype(np.uint32), cuts))
-        columns.append(W.packed(df[order].astype(np.uint8), cuts))
-    names_ = ["target", "names", "sizes", "runs", "low", "high", "home", "df"][: len(columns)]
-    return pa.RecordBatch.from_arrays(columns, names=names_)
+        columns.append(W.packed(bucket.astype(np.uint32), cuts(target)))
+        columns.append(W.packed(df[order].astype(np.uint8), cuts(target)))
+    columns_ = ["target", "names", "runs", "low", "high", "told_names", "told_sizes", "home", "df"]
+    return pa.RecordBatch.from_arrays(columns, names=columns_[: len(columns)])
 
 
 def _entries(table: pa.Table, homes: bool):
-    """Set, size of the set, and shingle of every entry in packed rows."""
-    runs = W.unpacked(table.column("runs"), np.uint32).astype(np.int64)
+    """Set and shingle of every entry in packed rows."""
+    runs = W.unpacked(table.column("runs"), np.uint8).astype(np.int64)
     names = np.repeat(W.unpacked(table.column("names"), np.uint64), runs)
-    sizes = np.repeat(W.unpacked(table.column("sizes"), np.uint32).astype(np.int64), runs)
     low = W.unpacked(table.column("low"), np.uint32).astype(np.uint64)
     low |= W.unpacked(table.column("high"), np.uint8).astype(np.uint64) << np.uint64(32)
     if homes:
@@ -159,7 +175,14 @@ def _entries(table: pa.Table, homes: bool):
         home = np.repeat(
             table.column("target").to_numpy(), W.unpacked_counts(table.column("low"), np.uint32)
         ).astype(np.uint64)
-    return names, sizes, low | (home << np.uint64(40))
+    return names, low | (home << np.uint64(40))
+
+
+def _told(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sets and sizes told in packed rows, each set once, in order."""
+    sizes = W.unpacked(table.column("told_sizes"), np.uint32).astype(np.int64)
+    names, at = np.unique(W.unpacked(table.column("told_names"), np.uint64), return_index=True)
+    return names, sizes[at]
 
 
 def _counted(buckets: int):
@@ -167,35 +190,34 @@ def _counted(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in W.whole_groups(batches, "target"):
+            told_names, told_sizes = _told(table)
             often = table.filter(pa.array(table.column("target").to_numpy() < 0))
             table = table.filter(pa.array(table.column("target").to_numpy() >= 0))
-            parts = []
-            if often.num_rows:
-                names, sizes, token = _entries(often, True)
-                parts.append((names, sizes, token, np.full(len(names), _FREQUENT)))
-            if table.num_rows:
-                names, sizes, token = _entries(table, False)
-                order = np.lexsort((names, token))
-                names, sizes, token = names[order], sizes[order], token[order]
-                fresh = np.ones(len(token), dtype=bool)
-                fresh[1:] = (token[1:] != token[:-1]) | (names[1:] != names[:-1])
-                names, sizes, token = names[fresh], sizes[fresh], token[fresh]
-                head = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-                df = np.diff(np.append(head, len(token)))
-                df = np.repeat(df, df)
-                several = df > 1
-                parts.append(
-                    (names[several], sizes[several], token[several], np.minimum(df[several], _FREQUENT - 1))
-                )
-            names, sizes, token, df = (np.concatenate(x) for x in zip(*parts))
-            if len(names):
-                by_set = (names % np.uint64(buckets)).astype(np.int64)
-                home = (token >> np.uint64(40)).astype(np.int64)
-                yield _packed_runs(by_set, home, names, sizes, token & _LOW, df)
+            names, token = _entries(often, True)
+            parts = [(names, token, np.full(len(names), _FREQUENT))]
+            names, token = _entries(table, False)
+            order = np.lexsort((names, token))
+            names, token = names[order], token[order]
+            fresh = np.ones(len(token), dtype=bool)
+            fresh[1:] = (token[1:] != token[:-1]) | (names[1:] != names[:-1])
+            names, token = names[fresh], token[fresh]
+            head = np.flatnonzero(np.diff(token, prepend=~token[:1]))
+            df = np.diff(np.append(head, len(token)))
+            df = np.repeat(df, df)
+            several = df > 1
+            parts.append((names[several], token[several], np.minimum(df[several], _FREQUENT - 1)))
+            names, token, df = (np.concatenate(x) for x in zip(*parts))
+            home = (token >> np.uint64(40)).astype(np.int64)
+            told = _by_set(told_names, buckets), told_names, told_sizes
+            yield _packed_rows(_by_set(names, buckets), home, names, token & _LOW, told, df)
 
     return run
 
 
+def _by_set(names: np.ndarray, buckets: int) -> np.ndarray:
+    return (names % np.uint64(buckets)).astype(np.int64)
+
+
 def _least_overlap(size, percent: int):
     """Overlap that a set of this size needs with any similar set."""
     return -(-size * percent // 100)
@@ -206,17 +228,18 @@ def _candidates(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in W.whole_groups(batches, "target"):
-            names, sizes, token = _entries(table, True)
+            names, token = _entries(table, True)
             df = W.unpacked(table.column("df"), np.uint8)
             order = np.lexsort((token, df, names))
-            names, sizes, token = names[order], sizes[order], token[order]
+            names, token = names[order], token[order]
             # A set's frequent shingles can come from several chunks.
             fresh = np.ones(len(token), dtype=bool)
             fresh[1:] = (token[1:] != token[:-1]) | (names[1:] != names[:-1])
-            names, sizes, token = names[fresh], sizes[fresh], token[fresh]
-            head = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+            names, token = names[fresh], token[fresh]
+            head = np.flatnonzero(np.diff(names, prepend=~names[:1]))
             count = np.diff(np.append(head, len(names)))
-            size = sizes[head]
+            told_names, told_sizes = _told(table)
+            size = told_sizes[np.searchsorted(told_names, names[head])]
             own = size - count
             lead = size - _least_overlap(size, percent) + 1 - own
             keep = lead > 0

@@ -161,19 +161,25 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Profiles:
 
 
 def identify(
-    docs: DataFrame, profiles: Profiles, keep_text: bool = True, language="lang_pred", score="score"
+    docs: DataFrame,
+    profiles: Profiles,
+    keep_text: bool = True,
+    language="lang_pred",
+    score="score",
+    letters: str | None = None,
 ) -> DataFrame:
     """Add the language of every whole text and its cosine (0 to 1), in one pass without shuffle.
 
     A null text, or one without a letter, gets ``und`` and 0. So does every text if nothing was
-    learned. Equal cosines give the language first in order. Columns named like the new ones are
-    replaced; all others stay.
+    learned, and ``und`` may be a learned language too; ``letters`` names a column that says whether
+    a text has a letter. Equal cosines give the language first in order. Columns named like the new
+    ones are replaced; all others stay.
     """
-    kept = [f for f in docs.schema.fields if f.name not in (language, score)]
+    kept = [f for f in docs.schema.fields if f.name not in (language, score, letters)]
     kept = [f for f in kept if keep_text or f.name != "text"]
-    schema = T.StructType(
-        [*kept, T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())]
-    )
+    added = [T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())]
+    added += [T.StructField(letters, T.BooleanType())] if letters else []
+    schema = T.StructType([*kept, *added])
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +194,7 @@ def identify(
                 cosine = np.where(with_letter, cosines.max(axis=1).clip(0, 1), 0.0)
             columns = [batch.column(f.name) for f in kept]
             columns += [pa.array(names[best], pa.string()), pa.array(cosine)]
+            columns += [pa.array(with_letter)] if letters else []
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return docs.mapInArrow(run, schema)
