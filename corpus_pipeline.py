@@ -7,17 +7,19 @@ read again as the next stage's ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tonetide.llm import contamination, jaccard, language, mixing, repeats
 from tonetide.llm.shared import stored
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those with a null text or without any letter go."""
-    profiles = language.fit(docs)
-    found = language.identify(docs, profiles, language="__language", score="__score")
-    return found.where(F.col("__language") != language.UNKNOWN).drop("__language", "__score")
+    """Documents with a language; those with a null text or without any letter go.
+
+    Null and unusual labels lose nothing: only whether a text has a letter decides.
+    """
+    new = {"language": "__language", "score": "__score", "letters": "__letters"}
+    found = language.identify(docs, language.fit(docs), **new)
+    return found.where("__letters").drop(*new.values())
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
