@@ -69,8 +69,17 @@ def test_stages_keep_the_columns_of_documents(spark, rows):
     assert (docs.count() > 0) == bool(rows)
 
 
+@pytest.mark.parametrize("label", [None, "und", "xx"])
+def test_labels_alone_reject_nothing(spark, label):
+    rows = [(i, f"clean text number {i} of some words", label, "s", 30) for i in range(20)]
+    rows += [(20, "123 456 !", label, "s", 9), (21, None, label, "s", 0), (22, "漢字", label, "s", 2)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = corpus_pipeline.known_language(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(20), 22]
+
+
 def test_every_operator_has_a_query():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
