@@ -73,7 +73,8 @@ def test_stages_keep_the_columns_of_documents(spark, rows):
 def test_labels_alone_reject_nothing(spark, label):
     rows = [(i, f"clean text number {i} of some words", label, "s", 30) for i in range(20)]
     rows += [(20, "123 456 !", label, "s", 9), (21, None, label, "s", 0), (22, "漢字", label, "s", 2)]
-    docs = spark.createDataFrame(rows, SCHEMA)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
     kept = corpus_pipeline.known_language(spark, docs, SF)
     assert sorted(r.doc_id for r in kept.collect()) == [*range(20), 22]
 

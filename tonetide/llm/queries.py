@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A public vocabulary file, installed wherever tasks run."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query(
     """
     WITH ints AS (
@@ -380,8 +386,8 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between the tokens of two tokenizers in every document."""
     return alignment.align(
         table(spark, sf_dir, "documents"),
-        public_tokenizers.path("byte_bpe_50k.json"),
-        public_tokenizers.path("piece_bpe_32k.model"),
+        tokenizer_path("byte_bpe_50k.json"),
+        tokenizer_path("piece_bpe_32k.model"),
     )
 
 
@@ -390,5 +396,5 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written as equal-length sequences and read from those files."""
     folder = f"{shared_dir(spark)}/ids"
     docs = table(spark, sf_dir, "documents")
-    sequences.write(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    sequences.write(docs, folder, tokenizer_path("byte_bpe_50k.json"))
     return sequences.digest(spark, folder)
