@@ -28,6 +28,8 @@ SAMPLE_PER_LANGUAGE = 1024
 MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
 _ROWS = 128
+# Distinct grams whose vectors are held at a time, 5 KB each.
+_GRAMS = 1 << 14
 _CHUNK = 2 << 20
 _UNIT = 1 << 24
 
@@ -76,21 +78,32 @@ def text_vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     grams, row = grams[within], row[: len(within)][within]
     found, gram = _compact(grams)
     letters = letter_vectors(known)
-    vectors = np.ones((len(found), DIMENSIONS), dtype=np.int8)
-    rest = found
-    for place in range(GRAM):  # the last letter is not rotated, the one before it by one, ...
-        vectors *= np.roll(letters, place, axis=1)[rest % max(1, len(known))]
-        rest = rest // max(1, len(known))
-    vectors = vectors.astype(np.float32)
     out = np.zeros((len(column), DIMENSIONS), dtype=np.float32)
-    cuts = np.searchsorted(row, np.arange(0, len(column) + _ROWS, _ROWS))
+    for start in range(0, len(found), _GRAMS):
+        some = found[start : start + _GRAMS]
+        inside = slice(None) if len(found) <= _GRAMS else (gram >= start) & (gram < start + _GRAMS)
+        _add_grams(out, row[inside], gram[inside] - start, _gram_vectors(some, letters))
+    return out, with_letter
+
+
+def _gram_vectors(grams: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """The product of a gram's letter vectors: the last is not rotated, the one before by one, ..."""
+    vectors = np.ones((len(grams), DIMENSIONS), dtype=np.int8)
+    for place in range(GRAM):
+        vectors *= np.roll(letters[grams % len(letters)], place, axis=1)
+        grams = grams // len(letters)
+    return vectors.astype(np.float32)
+
+
+def _add_grams(out: np.ndarray, row: np.ndarray, gram: np.ndarray, vectors: np.ndarray) -> None:
+    """Add each row's counts of grams times their vectors; rows ascend."""
+    cuts = np.searchsorted(row, np.arange(0, len(out) + _ROWS, _ROWS))
     for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if a < b:
-            at = (row[a:b] - i * _ROWS) * len(found) + gram[a:b]
-            n = min(_ROWS, len(column) - i * _ROWS)
-            counts = np.bincount(at, minlength=n * len(found)).reshape(n, len(found))
-            out[i * _ROWS : i * _ROWS + n] = counts.astype(np.float32) @ vectors
-    return out, with_letter
+            at = (row[a:b] - i * _ROWS) * len(vectors) + gram[a:b]
+            n = min(_ROWS, len(out) - i * _ROWS)
+            counts = np.bincount(at, minlength=n * len(vectors)).reshape(n, len(vectors))
+            out[i * _ROWS : i * _ROWS + n] += counts.astype(np.float32) @ vectors
 
 
 def _compact(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
