@@ -80,8 +80,9 @@ def classes(docs):
     return Counter((doc, len(s), least.get(c)) for (doc, _), s, c in zip(docs, sets, comp))
 
 
-def draw(doc, seed="mix"):
-    text = f"{seed}:{'' if doc is None else doc}"
+def draw(doc, text, number, seed="mix"):
+    text = hashlib.md5((text or "").encode()).hexdigest()
+    text = f"{seed}:{'' if doc is None else doc}:{text}:{number}"
     return int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / 2**52
 
 
@@ -102,8 +103,10 @@ def copies(docs, weights=(3, 1, 2), share=1.5, most=2):
             break
         full |= over
     target = {s: float(most * sizes[s]) if s in full else weight[s] * level for s in order}
-    out = []
-    for doc, _, source in docs:
+    out, seen = [], Counter()
+    for doc, text, source in docs:
         rate = target[source] / sizes[source] if sizes[source] else 0
-        out.append(int(rate) + (draw(doc) < rate - int(rate)))
+        seen[doc, text or "", source] += 1
+        drawn = draw(doc, text, seen[doc, text or "", source])
+        out.append(int(rate) + (drawn < rate - int(rate)))
     return target, sizes, out

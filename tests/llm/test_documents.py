@@ -1,9 +1,12 @@
 """Operators on documents, against brute force and on awkward rows."""
 
 import random
+import re
+import textwrap
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from tests.llm import plain
@@ -172,6 +175,23 @@ def test_mix_comes_near_its_targets(spark):
         assert abs(taken - target) <= 0.1 * target + 500
 
 
+def test_rows_with_one_id_draw_each_for_themselves(spark, monkeypatch):
+    equal = [(None, "w " * 4, "s")] * 400 + [(5, "w " * 4, "s")] * 300
+    other = [(6, f"w{i} b c d", "s") for i in range(300)]
+    small = [(i, "a b c", "t") for i in range(20)]
+    docs = spark.createDataFrame(equal + other + small, "doc_id long, text string, source string").repartition(4)
+    table = [tuple(r) for r in docs.collect()]
+    want = Counter()
+    for (d, _, s), n in zip(table, plain.copies(table)[2]):
+        want[d, s] += n
+    emitted = Counter((r.doc_id, r.source) for r in mixing.mix(docs).collect())
+    assert emitted == +want
+    monkeypatch.setattr(mixing, "MOST_EQUAL", 100)
+    for taken in (mixing.plan(docs).collect(), mixing.plan(docs).collect()):
+        big = [r for r in taken if r.source_size == 4000]
+        assert len(big) == 1000 and abs(sum(r.taken for r in big) - big[0].target) < 0.1 * big[0].target
+
+
 def test_language_is_learned(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     truth = {r.doc_id: r.lang for r in docs.collect()}
@@ -208,6 +228,14 @@ def test_toxicity_is_learned(spark):
     clean = [r.predicted for r in joined if r.toxic == 0]
     # Some of the labelled texts hold no toxic word at all.
     assert sum(toxic) / len(toxic) > 0.8 and sum(clean) / len(clean) < 0.05
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.fit(docs, labels)
+    calm = [r.doc_id for r in joined if r.toxic == 0 and r.score < 0.1][:50]
+    texts = [r.text for r in docs.where(docs.doc_id.isin(calm)).collect() if len(r.text) < 10_000]
+    apart = model.score(pa.array(texts))
+    longer = model.score(pa.array([f"{t} " * 1000 for t in texts]))
+    assert len(texts) > 20 and (longer < 0.5).all() and (longer <= 4 * apart + 0.05).all()
+    assert (model.score(pa.array([f"{t} " * 100_000 for t in ("a b", "and then")])) < 0.5).all()
 
 
 def test_toxicity_of_awkward_rows(spark, awkward, empty):
@@ -296,6 +324,61 @@ def test_licenses_are_found(spark, awkward, empty):
     assert licenses.fit(empty).families[-1] == "unknown"
 
 
+def covering_windows(text, coverage):
+    """(start, words) of windows that hold most words of a known text, by trying every start."""
+    words = [w for w in re.split(r"[\W_]+", plain.lower(text)) if w]
+    found = set()
+    for known in (t for texts in licenses.TEXTS.values() for t in texts):
+        own = licenses._plain(known)
+        for start in range(-len(own) + 1, len(words)):
+            window = words[max(start, 0) : start + len(own)]
+            if len(set(own) & set(window)) < coverage * len(set(own)):
+                continue
+            anchors = set(licenses._anchors_of(known, coverage))
+            if any(0 <= start + i < len(words) and w in anchors and words[start + i] == w for i, w in enumerate(own)):
+                found.add((max(start, 0), tuple(window)))
+    return found
+
+
+def test_license_windows_match_brute_force(spark):
+    known = [t for texts in licenses.TEXTS.values() for t in texts]
+    texts = [f"{sentence(i % 9, i)} {t} {sentence(5, -i)}\n{known[i - 1]}" for i, t in enumerate(known)]
+    texts += [t.split(" ", 2)[-1] for t in known] + ["", "rights", sentence(50, 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = docs.withColumn("w", licenses.words(docs.text))
+    got = docs.select("doc_id", licenses._windows("w", licenses.COVERAGE).alias("found")).collect()
+    for r in got:
+        found = [(x.start, tuple(x.words)) for x in r.found]
+        assert len(found) == len(set(found))
+        assert set(found) == covering_windows(texts[r.doc_id], licenses.COVERAGE)
+
+
+def test_wrapped_and_embedded_licenses_are_found(spark):
+    corpus = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    scanner = licenses.fit(corpus)
+    prose = " ".join(r.text for r in corpus.where("lang = 'en'").orderBy("doc_id").limit(40).collect()).split()
+    assert len(prose) > 4000
+    known = [(f, t) for f, texts in licenses.TEXTS.items() for t in texts]
+    before, long = " ".join(prose[:300]), " ".join(prose[:2000])
+    shapes = {
+        "alone": lambda t: t,
+        "wrapped": lambda t: textwrap.fill(t, 72),
+        "wrapped inside": lambda t: f"{before}\n\n" + textwrap.fill(f"Note. {t} {before}", 72),
+        "behind": lambda t: f"{before} {t}",
+        "inside": lambda t: f"{long} {t} {long}",
+        "paragraphs": lambda t: f"{before}\n\n{t}\n\n{before}",
+    }
+    rows = [(i, n, shape(t)) for i, (_, t) in enumerate(known) for n, shape in shapes.items()]
+    rows += [(-1, "none", " ".join(prose[:4000])), (-1, "none", textwrap.fill(" ".join(prose[:4000]), 72))]
+    docs = spark.createDataFrame(rows, "i long, shape string, text string")
+    docs = docs.selectExpr("struct(i, shape) AS doc_id", "text", "1 AS words", "2 AS license").repartition(8)
+    found = {}
+    for r in licenses.scan(docs, scanner).collect():
+        found.setdefault(tuple(r.doc_id), set()).add(r.family)
+    missed = [(i, n) for i, n, _ in rows if i >= 0 and known[i][0] not in found.get((i, n), ())]
+    assert missed == [] and (-1, "none") not in found
+
+
 def test_every_anchor_rule_is_exact():
     anchors = set(licenses._anchors(licenses.COVERAGE))
     for texts in licenses.TEXTS.values():

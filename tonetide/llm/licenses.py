@@ -1,15 +1,17 @@
 """License scan with a trained paragraph classifier.
 
-A paragraph (a line of text) is described by its word 1- to 3-grams, hashed into a sparse vector,
-and a multinomial logistic regression names its license family or ``unknown``. The model learns from
+A paragraph is a window of a text's words, as long as a known text and laid over it at every word the
+two may share, so neither line ends nor the words around it matter. It is described by its word 1- to
+3-grams, hashed into a sparse vector, and a multinomial logistic regression names its license family
+or ``unknown``. The model learns from
 varied copies of known texts; paragraphs of the corpus and shuffled license words teach it the
 unknown class. Its scores are calibrated on examples kept apart: one temperature for all classes,
 and a cut that one in a hundred unknown paragraphs passes. A prediction stands only if the
 paragraph also holds most words of a known text of that family.
 
-That comparison allows an exact shortcut: a paragraph without any of a text's few longest words
-cannot hold most of its words. Only paragraphs with such a word are classified. Only DataFrame and
-Spark ML functions run here.
+That comparison allows an exact shortcut: a window without any of a text's few longest words cannot
+hold most of its words. So windows are laid at these words only, and only those that hold most words
+of the known text they are as long as are classified. Only DataFrame and Spark ML functions run here.
 """
 
 from __future__ import annotations
@@ -113,18 +115,93 @@ def _plain(text: str) -> list[str]:
     return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
-def _anchors(coverage: float) -> list[str]:
+def _anchors_of(text: str, coverage: float) -> list[str]:
     """Words of which every paragraph that covers a known text holds one.
 
     To hold ceil(coverage * n) of n words, a paragraph can miss all but one of any
     n - ceil(coverage * n) + 1 words at most; those that are rare in prose are taken, longest first.
     """
-    found: set[str] = set()
-    for text in (t for texts in TEXTS.values() for t in texts):
-        own = sorted(set(_plain(text)), key=lambda w: (w in COMMON, -len(w), w))
-        need = -int(-coverage * len(own) // 1)
-        found.update(own[: len(own) - need + 1])
-    return sorted(found)
+    own = sorted(set(_plain(text)), key=lambda w: (w in COMMON, -len(w), w))
+    need = -int(-coverage * len(own) // 1)
+    return own[: len(own) - need + 1]
+
+
+def _anchors(coverage: float) -> list[str]:
+    """The same for any of the known texts."""
+    every = (t for texts in TEXTS.values() for t in texts)
+    return sorted({w for t in every for w in _anchors_of(t, coverage)})
+
+
+def _places(coverage: float) -> Column:
+    """Map from each anchor to where it stands: ``text`` (index), ``at``, and the text's ``long``."""
+    found: dict[str, list[Column]] = {}
+    for n, text in enumerate(t for texts in TEXTS.values() for t in texts):
+        own, anchors = _plain(text), set(_anchors_of(text, coverage))
+        for at, word in enumerate(own):
+            if word in anchors:
+                place = (n, at, len(own))
+                entry = F.struct(*[F.lit(x).alias(k) for x, k in zip(place, ("text", "at", "long"))])
+                found.setdefault(word, []).append(entry)
+    return F.create_map(*[x for w, at in sorted(found.items()) for x in (F.lit(w), F.array(*at))])
+
+
+def _windows(all_words: str, coverage: float) -> Column:
+    """``start words`` of every window that holds ``coverage`` of the words of its known text.
+
+    A window starts where the known text would, if an anchor of the text were the one found; what
+    lies before the first word is cut off.
+    """
+    texts, places, anchors = _texts(), _places(coverage), _anchors(coverage)
+    numbered = F.transform(all_words, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+    hits = F.filter(numbered, lambda h: h["w"].isin(anchors))
+    starts = F.array_distinct(
+        F.flatten(
+            F.transform(
+                hits,
+                lambda h: F.transform(
+                    F.element_at(places, h["w"]),
+                    lambda p: F.struct(
+                        (h["i"] - p["at"]).alias("start"), p["text"].alias("text"), p["long"].alias("long")
+                    ),
+                ),
+            )
+        )
+    )
+    cut = F.transform(
+        starts,
+        lambda s: F.struct(
+            F.greatest(s["start"], F.lit(0)).alias("start"),
+            F.slice(
+                F.col(all_words),
+                F.greatest(s["start"], F.lit(0)) + 1,
+                s["long"] + F.least(s["start"], F.lit(0)),
+            ).alias("words"),
+            s["text"].alias("text"),
+        ),
+    )
+    held = F.filter(
+        cut,
+        lambda x: _let(
+            F.element_at(texts, x["text"] + 1)["own"],
+            lambda own: F.size(F.array_intersect(own, x["words"])) >= F.size(own) * coverage,
+        ),
+    )
+    return F.array_distinct(
+        F.transform(held, lambda x: F.struct(x["start"].alias("start"), x["words"].alias("words")))
+    )
+
+
+def _line_of(start: str) -> Column:
+    """The line, from 0, of column ``text`` that holds its word number ``start``."""
+
+    def passed(a: Column, line: Column) -> Column:
+        seen = a["seen"] + F.size(words(line))
+        return F.struct(
+            seen.alias("seen"), (a["line"] + F.when(seen <= F.col(start), 1).otherwise(0)).alias("line")
+        )
+
+    first = F.struct(F.lit(0).alias("seen"), F.lit(0).alias("line"))
+    return F.aggregate(F.split("text", "\n"), first, passed)["line"]
 
 
 def _known(spark: SparkSession) -> DataFrame:
@@ -304,29 +381,38 @@ def scan(docs: DataFrame, scanner: Scanner, coverage: float = COVERAGE) -> DataF
     """One row per license paragraph:
     ``doc_id paragraph family probability license template coverage``.
 
-    ``paragraph`` counts lines from 0, ``probability`` is the family's and ``license`` that of any
-    license, which must reach the scanner's cut; ``template`` is the known text of which the paragraph holds
-    the largest share, ``coverage`` that share. Null and empty texts have no paragraphs; rows that
-    repeat an id are scanned each. Nothing is shuffled; candidate paragraphs are written once.
+    ``paragraph`` is the line, from 0, on which the license text begins, ``probability`` is the
+    family's and ``license`` that of any license, which must reach the scanner's cut; ``template``
+    is the known text of which the window holds the largest share, ``coverage`` that share. Of several
+    windows that begin on a line, the one with the largest share counts, then the likeliest, then
+    the family that is last by name. A text of one line, however long, thus gives one row. Null and
+    empty texts have no paragraphs; rows that repeat an id are scanned each. Texts are not shuffled;
+    windows that hold most of a known text are written once.
     """
-    anchors = _anchors(coverage)
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "__line"))
-    listed = lines.select("doc_id", "paragraph", words(F.col("__line")).alias("words")).where(
-        F.exists("words", lambda w: w.isin(anchors))
+    listed = (
+        docs.select("doc_id", "text", words(F.col("text")).alias("__words"))
+        .where(F.exists("__words", lambda w: w.isin(_anchors(coverage))))
+        .withColumn("__found", _windows("__words", coverage))
+        .where(F.size("__found") > 0)
+        .withColumn("__row", F.monotonically_increasing_id())
+        .select("doc_id", "text", "__row", F.explode("__found").alias("__window"))
+        .select("doc_id", "text", "__row", "__window.start", "__window.words")
+        .select("doc_id", "__row", _line_of("start").alias("paragraph"), "words")
     )
     scored = _best(
         scanner.model, scanner.families, _featured(stored(listed)), scanner.temperature
     )
-    picked = scored.select("doc_id", "paragraph", "words", "__best.*").where(
+    picked = scored.select("doc_id", "__row", "paragraph", "words", "__best.*").where(
         F.col("license") >= scanner.cut
     )
     own = F.filter(_texts(), lambda t: t["family"] == F.col("family"))
+    result = ("family", "probability", "license", "template", "coverage")
+    order = ("coverage", "license", "probability", "family", "template")
     return (
         picked.withColumn("__text", _most_covered(own))
         .where(F.col("__text.share") >= coverage)
-        .select(
-            "doc_id", "paragraph", "family", "probability", "license",
-            F.col("__text.template").alias("template"),
-            F.col("__text.share").alias("coverage"),
-        )
+        .withColumns({"template": F.col("__text.template"), "coverage": F.col("__text.share")})
+        .groupBy("__row", "paragraph")
+        .agg(F.first("doc_id").alias("doc_id"), F.max(F.struct(*order)).alias("__most"))
+        .select("doc_id", "paragraph", *[F.col(f"__most.{c}").alias(c) for c in result])
     )

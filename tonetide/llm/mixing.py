@@ -2,13 +2,14 @@
 
 Words are summed per source, targets follow from the sources' weights, and each document is emitted
 floor(rate) times plus once more with probability rate - floor(rate), where rate is its source's
-target over its source's size. The draw is a hash of seed and id: it depends neither on the file
-layout nor on the run.
+target over its source's size. The draw is a hash of seed, id, text and the number of the row among
+rows equal in these: it depends neither on the file layout nor on the run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tonetide.llm.shared import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
+MOST_EQUAL = 1 << 16
 
 
 def word_count(text: str) -> Column:
@@ -81,9 +83,49 @@ def targets(
     return table.select("source", "source_size", target.alias("target"))
 
 
-def uniform(doc_id: str, seed: str) -> Column:
+def _sized(docs: DataFrame) -> DataFrame:
+    return stored(
+        docs.select("doc_id", "source", word_count("text").alias("size"), _text().alias("__text"))
+    )
+
+
+def _text() -> Column:
+    return F.md5(F.coalesce(F.col("text"), F.lit("")))
+
+
+def _numbered(rows: DataFrame, sized: DataFrame) -> DataFrame:
+    """Add ``__number``, from 1 among rows equal in id, source and text.
+
+    Only rows that have equals are sorted. More than ``MOST_EQUAL`` equals, which would fill a task,
+    are numbered by their place in the table instead: such rows take turns by file layout.
+    """
+    key = ["doc_id", "source", "__text"]
+    equal = sized.groupBy(*key).agg(F.count(F.lit(1)).alias("__equal")).where(F.col("__equal") > 1)
+    equal = stored(equal.toDF("__id", "__from", "__hash", "__equal"))
+    one = F.lit(1).cast("long")
+    if equal.isEmpty():
+        return rows.withColumn("__number", one)
+    same = (
+        (F.col("__text") == F.col("__hash"))
+        & F.col("doc_id").eqNullSafe(F.col("__id"))
+        & F.col("source").eqNullSafe(F.col("__from"))
+    )
+    placed = rows.withColumn("__place", F.monotonically_increasing_id() + 1)
+    marked = placed.join(equal, same, "left")
+    within = F.row_number().over(Window.partitionBy(*key).orderBy("__place")).cast("long")
+    few = F.col("__equal") <= MOST_EQUAL
+    every = (
+        marked.where(F.col("__equal").isNull()).withColumn("__number", one),
+        marked.where(few).withColumn("__number", within),
+        marked.where(~few).withColumn("__number", F.col("__place")),
+    )
+    return reduce(DataFrame.unionByName, every).drop("__place", *equal.columns)
+
+
+def _uniform(seed: str) -> Column:
     """A number in [0, 1) from the first 52 bits of an md5."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    text = F.concat_ws(":", F.lit(seed), doc_id, "__text", "__number")
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
@@ -96,15 +138,16 @@ def plan(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     """Per document: ``doc_id size source_size target copies taken``.
 
     A null text has no words; a null source is a source of its own. A source without words has
-    target 0. Repeated rows draw alike, since the draw depends on the id only; null ids share one
-    draw. An empty table gives an empty result.
+    target 0. Repeated rows, rows that share an id and null ids draw each for themselves. An empty
+    table gives an empty result.
     """
-    sized = stored(docs.select("doc_id", "source", word_count("text").alias("size")))
+    sized = _sized(docs)
     rates = stored(targets(source_sizes(sized), **options)).withColumnRenamed("source", "__source")
     rate = F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))
     return (
-        sized.join(rates, F.col("source").eqNullSafe(F.col("__source")))
-        .withColumn("copies", copies(rate, uniform("doc_id", seed)))
+        _numbered(sized, sized)
+        .join(rates, F.col("source").eqNullSafe(F.col("__source")))
+        .withColumn("copies", copies(rate, _uniform(seed)))
         .select(
             "doc_id",
             "size",
@@ -119,15 +162,17 @@ def plan(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
 def mix(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     """The mixed documents: every column of ``docs``, a row per copy, numbered from 1 in ``copy``.
 
-    Texts are not shuffled as long as the table of sources is small enough for Spark to broadcast.
+    Texts are not shuffled as long as the table of sources is small enough for Spark to broadcast;
+    of rows equal in id, source and text, at most ``MOST_EQUAL`` go to one task.
     """
-    sized = docs.select("source", word_count("text").alias("size"))
+    sized = _sized(docs)
     rates = targets(source_sizes(sized), **options)
     rate = F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))
     rates = stored(rates.select(F.col("source").alias("__source"), rate.alias("__rate")))
-    number = copies(F.col("__rate"), uniform("doc_id", seed))
+    number = copies(F.col("__rate"), _uniform(seed))
     return (
-        docs.join(rates, F.col("source").eqNullSafe(F.col("__source")))
+        _numbered(docs.withColumn("__text", _text()), sized)
+        .join(rates, F.col("source").eqNullSafe(F.col("__source")))
         .withColumn("__copies", number)
         .where(F.col("__copies") > 0)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))

@@ -68,7 +68,8 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     WITH sized AS (
       SELECT doc_id, source,
-        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+        md5(coalesce(text, '')) AS hash
       FROM documents
     ),
     sources AS (
@@ -103,7 +104,8 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn AS (
       SELECT d.doc_id, d.size, g.source_size, g.target,
         coalesce(g.target / nullif(g.source_size, 0), 0) AS rate,
-        ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT
+        ('0x' || substr(md5(concat_ws(':', 'mix', coalesce(d.doc_id::VARCHAR, ''), d.hash,
+          row_number() OVER (PARTITION BY d.doc_id, d.source, d.hash))), 1, 13))::BIGINT
           / 4503599627370496.0::DOUBLE AS draw
       FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
     ),

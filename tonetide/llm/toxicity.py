@@ -2,8 +2,9 @@
 
 A word is the bag of its character n-grams and itself, each with an embedding found by hash. The
 embeddings of a passage of a few words are averaged (by word, then over words) and go through a
-linear softmax; a text is as toxic as the chance that any of its passages is. Embeddings and softmax
-are trained jointly in numpy, from text-level labels only. An unseen misspelling shares most n-grams
+linear softmax. In training, a text is as toxic as the chance that any of its passages is; a score
+takes the ``STRONGEST`` passages only, so that it does not grow with a text's length. Embeddings and
+softmax are trained jointly in numpy, from text-level labels only. An unseen misspelling shares most n-grams
 with the word it hides.
 """
 
@@ -25,6 +26,7 @@ BUCKETS = 1 << 18
 DIMENSIONS = 16
 GRAMS = (3, 4, 5)
 PASSAGE = 2
+STRONGEST = 4
 SAMPLE_PER_LABEL = 1000
 STEPS = 60
 TOXIC_WEIGHT = 0.5  # share of all toxic texts in the loss
@@ -100,6 +102,14 @@ def _chances(logits: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray
     return -np.expm1(-missed), 1 / (1 + np.exp(-logits))
 
 
+def _strongest(logits: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Places of the ``STRONGEST`` passages of each text; all, if there are fewer."""
+    order = np.lexsort((-logits, row))
+    ordered = row[order]
+    place = np.arange(len(row)) - np.searchsorted(ordered, ordered)
+    return order[place < STRONGEST]
+
+
 @dataclass(frozen=True)
 class Model:
     subword: np.ndarray  # embedding of each bucket, projected on toxic minus clean
@@ -109,7 +119,9 @@ class Model:
         f = features(column)
         if not len(f.row):
             return np.zeros(f.rows)
-        return _chances(passage_logits(f, self.subword, self.bias), f.row, f.rows)[0].clip(0, 1)
+        logits = passage_logits(f, self.subword, self.bias)
+        strong = _strongest(logits, f.row)
+        return _chances(logits[strong], f.row[strong], f.rows)[0].clip(0, 1)
 
 
 def train(texts: list[Features], labels: np.ndarray) -> Model:
