@@ -1,7 +1,7 @@
 """Toxicity with subword bags.
 
 A word is the bag of its character n-grams and itself, each with an embedding found by hash. The
-embeddings of a passage of a few words are averaged (by word, then over words) and go through a
+embeddings of a passage of two neighbouring words are averaged (by word, then over both) and go through a
 linear softmax. In training, a text is as toxic as the chance that any of its passages is; a score
 takes the ``STRONGEST`` passages only, so that it does not grow with a text's length. Embeddings and
 softmax are trained jointly in numpy, from text-level labels only. An unseen misspelling shares most n-grams
@@ -25,7 +25,6 @@ from tonetide.llm.shared import bounded_sample, held_out, stored
 BUCKETS = 1 << 18
 DIMENSIONS = 16
 GRAMS = (3, 4, 5)
-PASSAGE = 2
 STRONGEST = 4
 SAMPLE_PER_LABEL = 1000
 STEPS = 60
@@ -61,13 +60,12 @@ def _bags(text: W.Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Features:
-    """Distinct words as bags, and passages as runs of words."""
+    """Distinct words as bags, and passages: every two words side by side, or a text's only one."""
 
     bags: np.ndarray
     sizes: np.ndarray  # subwords of each distinct word
-    word: np.ndarray  # distinct word at each place
-    heads: np.ndarray  # place where each passage begins
-    lengths: np.ndarray
+    heads: np.ndarray  # distinct word that each passage begins with
+    tails: np.ndarray  # and ends with
     row: np.ndarray  # text of each passage
     rows: int
 
@@ -76,11 +74,11 @@ def features(column: pa.Array) -> Features:
     text = W.split(pc.utf8_lower(W.valid(column)))
     _, chosen, word = np.unique(text.hashes(), return_index=True, return_inverse=True)
     bags, sizes = _bags(text, chosen)
-    many = -(-text.counts // PASSAGE)
+    many = np.where(text.counts > 1, text.counts - 1, text.counts)
     row = np.repeat(np.arange(len(column)), many)
-    heads = text.first[row] + PASSAGE * W.ranges(np.zeros(len(many), np.int64), many)
-    lengths = np.minimum(text.first[row + 1] - heads, PASSAGE)
-    return Features(bags, sizes, word, heads, lengths, row, len(column))
+    heads = text.first[row] + W.ranges(np.zeros(len(many), np.int64), many)
+    tails = np.minimum(heads + 1, text.first[row + 1] - 1)
+    return Features(bags, sizes, word[heads], word[tails], row, len(column))
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -92,7 +90,7 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def passage_logits(f: Features, subword: np.ndarray, bias: float) -> np.ndarray:
     """Averages are linear: the projections of subwords are averaged instead of their vectors."""
     word = _sums(subword[f.bags].astype(np.float64), f.sizes) / f.sizes
-    return _sums(word[f.word], f.lengths) / f.lengths + bias
+    return (word[f.heads] + word[f.tails]) / 2 + bias
 
 
 def _chances(logits: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,15 +154,15 @@ def train(texts: list[Features], labels: np.ndarray) -> Model:
             if not len(f.row):
                 continue
             word = _sums(subword[bags].astype(np.float64), f.sizes) / f.sizes
-            logits = _sums(word[f.word], f.lengths) / f.lengths + float(bias[1] - bias[0])
+            logits = (word[f.heads] + word[f.tails]) / 2 + float(bias[1] - bias[0])
             chance, own = _chances(logits, f.row, f.rows)
             toxic = labels[a:b] == 1
             outer = np.where(toxic, -(1 - chance) / np.maximum(chance, 1e-12), 1.0)
             outer *= weight[a:b]
             slope = own * outer[f.row]
             pull_bias += slope.sum()
-            of_word = np.bincount(
-                f.word, weights=np.repeat(slope / f.lengths, f.lengths), minlength=len(f.sizes)
+            of_word = sum(
+                np.bincount(w, weights=slope / 2, minlength=len(f.sizes)) for w in (f.heads, f.tails)
             )
             of_bag = np.repeat(of_word / f.sizes, f.sizes)
             pull += np.bincount(bags, weights=of_bag, minlength=len(used))
