@@ -390,12 +390,10 @@ def scan(docs: DataFrame, scanner: Scanner, coverage: float = COVERAGE) -> DataF
     windows that hold most of a known text are written once.
     """
     listed = (
-        docs.select("doc_id", "text", words(F.col("text")).alias("__words"))
-        .where(F.exists("__words", lambda w: w.isin(_anchors(coverage))))
-        .withColumn("__found", _windows("__words", coverage))
-        .where(F.size("__found") > 0)
-        .withColumn("__row", F.monotonically_increasing_id())
-        .select("doc_id", "text", "__row", F.explode("__found").alias("__window"))
+        # The row's number also keeps the optimizer from splitting a text twice to filter it first.
+        docs.withColumn("__row", F.monotonically_increasing_id())
+        .select("doc_id", "text", "__row", words(F.col("text")).alias("__words"))
+        .select("doc_id", "text", "__row", F.explode(_windows("__words", coverage)).alias("__window"))
         .select("doc_id", "text", "__row", "__window.start", "__window.words")
         .select("doc_id", "__row", _line_of("start").alias("paragraph"), "words")
     )
