@@ -265,3 +265,27 @@ def test_rank_sum_in_ranges(spark):
     window = plan[plan.index("Window"):]
     assert "SinglePartition" not in window
     assert tuple(rank_sum_auc(df.limit(0), "s", "y").first()) == (0, None)
+
+
+@pytest.fixture
+def small_scale(spark, tables, trained, tmp_path):
+    """A folder with ``documents``, one id twice, one null, and models for it."""
+    from tonetide.catalog import models as M
+
+    rows = [(i, (GOOD, BAD, FLAT)[i % 3] + f" word{i % 5}") for i in range(40)]
+    rows += [(3, GOOD + " word3"), (41, ""), (None, BAD)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    key = (spark.sparkContext.applicationId, str(tmp_path))
+    M._TRAINED[key] = (trained[0], trained[2])
+    yield str(tmp_path)
+    del M._TRAINED[key]
+
+
+def test_weights_go_to_the_terms(spark, small_scale):
+    """No term is shuffled to find its weight."""
+    from tonetide.catalog import QUERIES
+
+    df = QUERIES["scores_recomputed_from_terms"].run(spark, small_scale)
+    tree = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [term" in tree and "hashpartitioning(term" not in tree
+    assert df.first().n == 43

@@ -152,7 +152,8 @@ def scores_recomputed_from_terms(spark, sf_dir):
     )
     grams = _grams(spark, sf_dir)
     terms = grams.select("id", F.explode(F.array_distinct(GRAMS)).alias("term"))
-    sums = terms.join(weights, "term").groupBy("id").agg(
+    # A weight per vocabulary term: sent to the rows, whose sums are then combined where they are.
+    sums = terms.join(F.broadcast(weights), "term").groupBy("id").agg(
         F.sum("w").alias("w"), F.sum("v").alias("v")
     )
 
