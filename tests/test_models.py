@@ -281,6 +281,44 @@ def small_scale(spark, tables, trained, tmp_path):
     del M._TRAINED[key]
 
 
+def test_rounds_of_scoring_are_apart(spark, trained, small_scale):
+    """Each round scores with its own models, whatever the rounds before it left."""
+    from tonetide.catalog import models as M
+
+    a = trained[0]
+    b = Models(a.vocabulary, a.negative, a.positive)
+    names = {"pos_probability": "p", "pos": "pos"}
+    both = M._scored_again(spark, small_scale, (a, names), (b, {"pos_probability": "q", "pos": "pos2"}))
+    assert both.columns == ["id", "p", "pos", "q", "pos2"] and both.count() == 42
+
+    def rows(df, *columns):
+        return sorted(map(str, df.select(*columns).collect()))
+
+    alone = [M._scored(spark, small_scale, m).where("id IS NOT NULL") for m in (a, b)]
+    alone = [df.select("id", "pos_probability", "pos") for df in alone]
+    assert rows(both, "id", F.col("p").alias("pos_probability"), "pos") == rows(alone[0], *alone[0].columns)
+    again = both.select("id", F.col("q").alias("pos_probability"), F.col("pos2").alias("pos"))
+    assert rows(again, *again.columns) == rows(alone[1], *alone[1].columns)
+    assert both.where("p != q").count() > 0
+
+
+@pytest.mark.parametrize(
+    "name, rounds, rows",
+    # The rows of the id that comes twice meet each other; the row without an id meets none.
+    [("one_pass_equals_join", 3, 40 + 8)],
+)
+def test_scoring_twice_cleans_the_text_once(spark, small_scale, monkeypatch, name, rounds, rows):
+    from tonetide.catalog import QUERIES
+    from tonetide.catalog import models as M
+
+    calls, bag, scored = [], M.with_ngram_bag, M.score
+    monkeypatch.setattr(M, "with_ngram_bag", lambda *a: calls.append("text") or bag(*a))
+    monkeypatch.setattr(M, "score", lambda *a: calls.append("score") or scored(*a))
+    result = QUERIES[name].run(spark, small_scale).first()
+    assert (calls.count("text"), calls.count("score")) == (1, rounds)
+    assert tuple(result) == (rows, 0)
+
+
 def test_weights_go_to_the_terms(spark, small_scale):
     """No term is shuffled to find its weight."""
     from tonetide.catalog import QUERIES
