@@ -305,7 +305,7 @@ def test_rounds_of_scoring_are_apart(spark, trained, small_scale):
 @pytest.mark.parametrize(
     "name, rounds, rows",
     # The rows of the id that comes twice meet each other; the row without an id meets none.
-    [("one_pass_equals_join", 3, 40 + 8)],
+    [("one_pass_equals_join", 3, 40 + 8), ("saved_models_score_alike", 2, 40 + 4)],
 )
 def test_scoring_twice_cleans_the_text_once(spark, small_scale, monkeypatch, name, rounds, rows):
     from tonetide.catalog import QUERIES

@@ -214,15 +214,16 @@ def saved_models_score_alike(spark, sf_dir):
     models, _ = _trained(spark, sf_dir)
     path = shared_dir(spark)
     models.save(path)
-    again = _scored(spark, sf_dir, Models.load(path)).select(
-        "id", F.col("pos_probability").alias("p2"), F.col("neg_probability").alias("q2")
+    names = {"pos_probability": "p2", "neg_probability": "q2"}
+    scored = _scored_again(
+        spark, sf_dir, (models, {n: n for n in names}), (Models.load(path), names)
     )
     different = ~_sure(
         (F.col("pos_probability") == F.col("p2")) & (F.col("neg_probability") == F.col("q2"))
     )
     return (
-        _scored(spark, sf_dir)
-        .join(again, "id")
+        scored.select("id", *names)
+        .join(scored.select("id", *names.values()), "id")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(different).alias("different"))
     )
 
@@ -234,10 +235,11 @@ def staged_models_are_reused(spark, sf_dir):
     reused, _ = train(
         spark, B.labels(spark, sf_dir), _plain_comments(spark, sf_dir), workdir, SEED
     )
-    again = _scored(spark, sf_dir, reused).select("id", F.col("pos_probability").alias("p2"))
+    names = {"pos_probability": "p2"}
+    scored = _scored_again(spark, sf_dir, (models, {n: n for n in names}), (reused, names))
     return (
-        _scored(spark, sf_dir, models)
-        .join(again, "id")
+        scored.select("id", "pos_probability")
+        .join(scored.select("id", "p2"), "id")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(~_sure(F.col("pos_probability") == F.col("p2"))).alias("different"),
