@@ -64,6 +64,16 @@ def test_pieces_are_forgotten(monkeypatch):
 ends = st.lists(st.integers(1, 4), max_size=60).map(lambda x: np.cumsum(np.array(x, np.int64)))
 
 
+def test_equal_pieces_of_a_call_are_asked_for_once(monkeypatch):
+    asked, encode = [], encoding.Pieces.encode
+    monkeypatch.setattr(encoding.Pieces, "encode", lambda self, pieces, *uses: asked.append(list(pieces)) or encode(self, pieces, *uses))
+    texts = ["b a b a", "", "a  a\n b b a", "b", "a b \u2581 a b"]
+    ids, counts = encoding.Texts(encoding.byte_bpe(A, False)).encode(texts)
+    want = [tokenizer(False).encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+    assert len(asked) == 2 and all(len(pieces) == len(set(pieces)) for pieces in asked)
+
+
 @given(ends, ends, st.integers(1, 40))
 def test_pieces_of_the_merge_path_find_all_common_ends(a, b, work):
     i, j = alignment.diagonals(a, b, work)

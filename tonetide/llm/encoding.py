@@ -13,9 +13,11 @@ import os
 import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
-from itertools import chain, compress
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tonetide.llm.words import ranges
 
@@ -142,12 +144,24 @@ class Pieces:
         self.used = np.zeros(len(kept), np.int64)
         self.known = [_taken(*known, kept) for known in self.known]
 
-    def encode(self, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each encoder the ids of all pieces in a row, and how many each piece has."""
+    def encode(
+        self, pieces: list[str], uses: np.ndarray | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each encoder the ids of all pieces in a row, and how many each piece has.
+
+        With ``uses``, the pieces are distinct, and those in these places are asked for.
+        """
         if len(self.numbers) > self.limit:
             self._forget()
-        at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
-        new, self.numbers.new = self.numbers.new, []
+        if uses is None:
+            at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+            new, self.numbers.new = self.numbers.new, []
+        else:
+            at = np.fromiter(map(self.numbers.get, pieces, repeat(-1)), np.int64, len(pieces))
+            unknown, known = np.flatnonzero(at < 0), len(self.numbers)
+            new = [pieces[i] for i in unknown.tolist()]
+            at[unknown] = np.arange(known, known + len(new))
+            self.numbers.update(zip(new, at[unknown].tolist()))
         if new:
             more = [encode(new) for encode in self.encoders]
             self.known = [
@@ -155,6 +169,8 @@ class Pieces:
                 for known, found in zip(self.known, more)
             ]
             self.used = np.append(self.used, np.zeros(len(new), np.int64))
+        if uses is not None:
+            at = at[uses]
         self.used += np.bincount(at, minlength=len(self.used))
         return [tuple(x.astype(np.int64) for x in _taken(*known, at)) for known in self.known]
 
@@ -171,6 +187,23 @@ def cut(texts: list[str]) -> tuple[list[str], np.ndarray]:
     return list(chain.from_iterable(parts)), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
+def cut_distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pieces of all texts, where in them each piece is, and how many each text has."""
+    odd = np.fromiter((ODD.search(t) is not None for t in texts), bool, len(texts))
+    whole = pa.array(texts, pa.large_string())
+    parts = pc.split_pattern(whole.filter(pa.array(~odd)), " ")
+    pieces, n = parts.flatten(), np.zeros(len(texts), np.int64)
+    n[~odd] = np.diff(parts.offsets.to_numpy())
+    if odd.any():
+        others, n[odd] = cut([texts[i] for i in np.flatnonzero(odd)])
+        pieces = pa.concat_arrays([pieces, pa.array(others, pa.large_string())])
+    found = pieces.dictionary_encode()
+    places = np.empty(len(pieces), np.int64)
+    order = np.concatenate((np.flatnonzero(~odd), np.flatnonzero(odd)))
+    places[ranges((np.cumsum(n) - n)[order], n[order])] = found.indices.to_numpy()
+    return found.dictionary.to_numpy(zero_copy_only=False), places, n
+
+
 class Texts:
     """Ids of whole texts as they are, without a space before them."""
 
@@ -179,14 +212,15 @@ class Texts:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
-        pieces, n = cut(texts)
-        first = np.zeros(len(pieces), dtype=bool)
+        distinct, places, n = cut_distinct(texts)
+        first = np.zeros(len(places), dtype=bool)
         first[np.cumsum(n) - n] = True
-        parts = [
-            (first, *self.first.encode([pieces[i] for i in np.flatnonzero(first)])[0]),
-            (~first, *self.later.encode(list(compress(pieces, ~first)))[0]),
-        ]
-        counts = np.zeros(len(pieces), np.int64)
+        parts = []
+        for memory, chosen in ((self.first, first), (self.later, ~first)):
+            asked = np.bincount(places[chosen], minlength=len(distinct)) > 0
+            uses = (np.cumsum(asked) - 1)[places[chosen]]
+            parts.append((chosen, *memory.encode(distinct[asked].tolist(), uses)[0]))
+        counts = np.zeros(len(places), np.int64)
         for chosen, _, own in parts:
             counts[chosen] = own
         starts = np.cumsum(counts) - counts

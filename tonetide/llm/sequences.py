@@ -33,6 +33,8 @@ from tonetide.sources.stages import _write_text
 
 LENGTH = 2048
 BATCH = 64
+# Bytes of text encoded at once: the more, the fewer equal pieces are asked for again.
+TEXT_BYTES = 4 << 20
 MANIFEST = "manifest.json"
 _SHARD = "shard int, documents_file string, ids_file string, documents long, ids long, sequences long"
 
@@ -89,7 +91,7 @@ def _written(folder: str, path: str, length: int, end_id: int):
         names = [f"shard-{shard:06d}-{uuid.uuid4().hex}-{x}.arrow" for x in ("documents", "ids")]
         files, base = _store(folder)
         sinks, sequences, index = [], None, None
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=TEXT_BYTES):
             if sequences is None:
                 files.create_dir(base, recursive=True)
                 sinks = [files.open_output_stream(f"{base}/{name}") for name in names]
