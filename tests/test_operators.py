@@ -193,6 +193,25 @@ def test_document_frequency(spark):
     assert values(document_frequency(df, "tokens", 2), "term") == ["a"]
 
 
+@pytest.mark.parametrize("size", [1, 3, 4_000_000])
+def test_terms_are_counted_in_pieces(spark, monkeypatch, size):
+    """The counts do not depend on where a piece ends; no row per occurrence is made."""
+    from tonetide.operators import vocabulary
+
+    rows = [[f"t{i % 3}", "every", f"t{i % 7}", "é", None if i % 5 else ""] for i in range(60)]
+    rows += [[], None, ["every"] * 9, [None]]
+    monkeypatch.setattr(vocabulary, "PIECE_TOKENS", size)
+    df = spark.createDataFrame([(r,) for r in rows], "tokens array<string>").repartition(3)
+    counted = document_frequency(df, "tokens")
+    tf, seen = Counter(), Counter()
+    for r in filter(None, rows):
+        tf.update(r)
+        seen.update(set(r))
+    assert {r.term: (r.df, r.tf) for r in counted.collect()} == {t: (seen[t], tf[t]) for t in tf}
+    assert "Generate" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert document_frequency(df.limit(0), "tokens").count() == 0
+
+
 # --- series --------------------------------------------------------------------
 
 

@@ -2,35 +2,76 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tonetide.constants import MIN_DOCUMENT_FREQUENCY, VOCABULARY_SIZE
 from tonetide.sources.stages import shared_dir, stage
 
+# Tokens that a task counts at a time, and terms that it hands on at a time.
+PIECE_TOKENS = 4_000_000
+_ROWS_OUT = 1 << 17
+
+
+def _pieces(size: int):
+    """A function that counts the terms of token lists, ``size`` tokens at a time or somewhat more.
+
+    Made here, so that it travels with its code and needs no package on the executors.
+    """
+
+    def counts(lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        column = pa.concat_arrays(lists)
+        # A missing term counts as a term, as in ``groupBy``.
+        found = pc.list_flatten(column).dictionary_encode(null_encoding="encode")
+        terms, codes = found.dictionary, found.indices.to_numpy().astype(np.int64)
+        pairs = pc.list_parent_indices(column).to_numpy().astype(np.int64) * len(terms) + codes
+        pairs.sort()
+        first = np.ones(len(pairs), bool)
+        first[1:] = pairs[1:] != pairs[:-1]
+        rows = np.bincount(pairs[first] % max(len(terms), 1), minlength=len(terms))
+        times = np.bincount(codes, minlength=len(terms))
+        for at in range(0, len(terms), _ROWS_OUT):
+            part = slice(at, at + _ROWS_OUT)
+            yield pa.RecordBatch.from_arrays(
+                [terms[part], pa.array(rows[part]), pa.array(times[part])], ["term", "df", "tf"]
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, tokens = [], 0
+        for batch in batches:
+            held.append(batch.column(0))
+            tokens += len(pc.list_flatten(held[-1]))
+            if tokens >= size:
+                yield from counts(held)
+                held, tokens = [], 0
+        if held:
+            yield from counts(held)
+
+    return run
+
 
 def document_frequency(df: DataFrame, tokens: str, min_df: int = 1) -> DataFrame:
     """Per term: ``df``, the rows it occurs in, and ``tf``, its occurrences.
 
-    A row's tokens are exploded together with its distinct tokens, told apart by position: the
-    former count occurrences, the latter rows. Both counts then come from a single shuffle,
-    combined on the map side first, however frequent a term is.
-
-    The generator takes the array expression, not a bare column. On a column, the optimizer
-    would infer a filter and push it, expanded, below every step that makes the tokens.
+    Tasks count pieces of their rows in Arrow: each distinct term of a piece leaves it as one row
+    with both counts. Spark adds these up in a single shuffle, combined on the map side first,
+    however frequent a term is.
     """
-    both = F.concat(F.col(tokens), F.array_distinct(tokens))
-    terms = df.select(
-        F.size(tokens).alias("__tokens"), F.posexplode(both).alias("__pos", "term")
-    )
-    in_tokens = F.col("__pos") < F.col("__tokens")
+    lists = df.select(F.col(tokens).alias("terms"))
+    term = lists.schema["terms"].dataType.elementType
+    schema = T.StructType().add("term", term).add("df", "long").add("tf", "long")
     return (
-        terms.groupBy("term")
-        .agg(F.count_if(~in_tokens).alias("df"), F.count_if(in_tokens).alias("tf"))
+        lists.mapInArrow(_pieces(PIECE_TOKENS), schema)
+        .groupBy("term")
+        .agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
         .filter(F.col("df") >= min_df)
     )
 
