@@ -327,3 +327,66 @@ def test_weights_go_to_the_terms(spark, small_scale):
     tree = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [term" in tree and "hashpartitioning(term" not in tree
     assert df.first().n == 43
+
+
+def test_fits_share_the_decoded_rows(spark, tables, monkeypatch):
+    """The rows are held for all fits of both classifiers, and let go after them."""
+    from tonetide.plans import train as P
+
+    comments, _, labels = tables
+    given, one = [], P.train_one
+
+    def train_one(df, *rest):
+        given.append((df, df.is_cached))
+        return one(df, *rest)
+
+    monkeypatch.setattr(P, "train_one", train_one)
+    models, _ = train(spark, labels, comments, shared_dir(spark), seed=5)
+    (first, kept), (second, kept_too) = given
+    assert first is second and kept and kept_too
+    assert not first.storageLevel.useMemory and not first.storageLevel.useDisk
+    plan = first.select("features")._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" not in plan
+    assert models.positive.getNumFolds() == 5
+
+
+def test_fits_take_turns_if_their_rows_do_not_fit(spark, tables, monkeypatch):
+    """Copies of the rows are stored side by side only as far as the memory holds them."""
+    from threading import Lock
+
+    from pyspark.ml.classification import LogisticRegression
+
+    from tonetide.operators import models as M
+    from tonetide.sources.readers import estimated_bytes
+
+    df = with_ngram_bag(tables[0], "body", GRAMS).withColumn(
+        "p", F.col("body").startswith("great").cast("int")
+    )
+    data = vectorize(fit_vocabulary(df, GRAMS), df)
+    with M.held(data, "id", "features", "p") as rows:
+        rows.count()
+        size = estimated_bytes(rows)
+        assert [M.fits_at_once(rows, 6, n * size) for n in (0, 1, 2, 5, 12, 13, 99)] == [1, 1, 1, 2, 5, 6, 6]
+        fit, lock, now, most = LogisticRegression._fit, Lock(), [0], []
+
+        def counted(self, dataset):
+            with lock:
+                now[0] += 1
+                most.append(now[0])
+            try:
+                return fit(self, dataset)
+            finally:
+                with lock:
+                    now[0] -= 1
+
+        monkeypatch.setattr(LogisticRegression, "_fit", counted)
+        monkeypatch.setattr(M, "storage_memory", lambda spark: 0)
+        slow = M.train_one(rows, "id", "p", folds=3)
+        assert max(most) == 1 and len(most) == 4
+        monkeypatch.undo()
+        fast = M.train_one(rows, "id", "p", folds=3)
+    assert M.storage_memory(spark) > 1 << 30
+    assert slow.avgMetrics == pytest.approx(fast.avgMetrics, abs=1e-12)
+    assert slow.bestModel.coefficients.toArray() == pytest.approx(
+        fast.bestModel.coefficients.toArray(), abs=1e-12
+    )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from statistics import fmean, pstdev
 
@@ -125,6 +126,39 @@ def in_few_parts(df: DataFrame) -> DataFrame:
     return df.coalesce(parts) if 0 < parts < df.rdd.getNumPartitions() else df
 
 
+@contextmanager
+def held(df: DataFrame, *columns: str) -> Iterator[DataFrame]:
+    """The columns of a stored table, decoded once and kept in memory or on disk, for many fits."""
+    rows = in_few_parts(df.select(*columns)).persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
+def storage_memory(spark: SparkSession) -> int:
+    """Bytes that the executors have for stored blocks; in a local session, the driver's."""
+    status = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().values().iterator()
+    found = []
+    while status.hasNext():
+        found.append(status.next()._1())
+    # One entry is the driver's, which stores no rows on a cluster; at most the largest is its own.
+    return sum(found) - (max(found) if len(found) > 1 else 0)
+
+
+def fits_at_once(rows: DataFrame, most: int, memory: int, classifiers: int = 2) -> int:
+    """How many fits of a classifier may run side by side: ``most``, if their rows fit ``memory``.
+
+    Each stores its own standardized copy of its rows, about as large as the ``held`` rows are. Copies
+    beyond the memory would be read from disk again in each iteration; then the fits take turns.
+    """
+    if not rows.is_cached:
+        return most
+    rows.count()  # now Spark knows their size in memory
+    copies = memory // max(1, estimated_bytes(rows)) - 1
+    return max(1, min(most, copies // classifiers))
+
+
 def with_folds(df: DataFrame, key: str, folds: int, seed: int) -> DataFrame:
     """Number each row's fold by its key, so that folds do not depend on row order."""
     return df.withColumn(
@@ -141,7 +175,13 @@ def train_one(
     seed: int = 0,
     parallelism: int | None = None,
 ) -> CrossValidatorModel:
-    """Cross-validate one classifier on a table with ``key``, ``label`` and ``features``."""
+    """Cross-validate one classifier on a table with ``key``, ``label`` and ``features``.
+
+    Without ``parallelism``, fits on ``held`` rows run side by side as far as half of the storage
+    memory holds what two classifiers store.
+    """
+    if parallelism is None:
+        parallelism = fits_at_once(df, folds + 1, storage_memory(df.sparkSession) // 2)
     rows = with_folds(in_few_parts(df.select(key, FEATURES, label)), key, folds, seed)
     return cross_validator(label, reg_params, folds, seed, parallelism).fit(rows)
 

@@ -20,6 +20,7 @@ from tonetide.operators.models import (
     FEATURES,
     Models,
     evaluate,
+    held,
     stage_classifier,
     stage_vocabulary,
     train_one,
@@ -95,17 +96,19 @@ def train(
     )
     training, held_out = hash_split(data, "Input_id", weights, salt=f":split:{seed}")
 
-    def classifier(label: str):
-        return stage_classifier(
-            spark,
-            f"{workdir}/{label}",
-            lambda: train_one(training, "Input_id", label, reg_params, folds, seed, parallelism),
-            made_with(**fit),
-        )
-
-    # The two classifiers are independent; their jobs share the cluster.
-    with ThreadPoolExecutor(2) as pool:
-        positive, negative = pool.map(classifier, ("pos_label", "neg_label"))
+    # The two classifiers are independent; their jobs share the cluster and the decoded rows.
+    names = ("pos_label", "neg_label")
+    with held(training, "Input_id", FEATURES, *names) as rows, ThreadPoolExecutor(2) as pool:
+
+        def classifier(label: str):
+            return stage_classifier(
+                spark,
+                f"{workdir}/{label}",
+                lambda: train_one(rows, "Input_id", label, reg_params, folds, seed, parallelism),
+                made_with(**fit),
+            )
+
+        positive, negative = pool.map(classifier, names)
     return Models(vocabulary, positive, negative), held_out
 
 
