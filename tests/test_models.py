@@ -329,6 +329,21 @@ def test_weights_go_to_the_terms(spark, small_scale):
     assert df.first().n == 43
 
 
+def test_terms_and_scores_share_the_cleaned_text(spark, small_scale, monkeypatch):
+    """One cleaning for the scores and the sums; ids that repeat or are missing count as before."""
+    from tonetide.catalog import QUERIES
+    from tonetide.catalog import models as M
+
+    calls, bag, scored = [], M.with_ngram_bag, M.score
+    monkeypatch.setattr(M, "with_ngram_bag", lambda *a: calls.append("text") or bag(*a))
+    monkeypatch.setattr(M, "score", lambda *a: calls.append("score") or scored(*a))
+    df = QUERIES["scores_recomputed_from_terms"].run(spark, small_scale)
+    assert calls == ["text", "score"]
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    # Both rows of the id that comes twice have the sum of the two; the row without an id has none.
+    assert tuple(df.first()) == (43, 2 + 1)
+
+
 def test_fits_share_the_decoded_rows(spark, tables, monkeypatch):
     """The rows are held for all fits of both classifiers, and let go after them."""
     from tonetide.plans import train as P
